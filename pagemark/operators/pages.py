@@ -148,7 +148,7 @@ def image_manifest(pages: DataFrame, images: DataFrame) -> DataFrame:
     """
     known = images.select(*PAGE_KEY, "path", "length").dropDuplicates(PAGE_KEY)
     destination = F.concat(document_name(), F.lit(".jpeg"))
-    return pages.join(known, PAGE_KEY, "left").select(
+    return pages.select(*PAGE_KEY).join(known, PAGE_KEY, "left").select(
         *PAGE_KEY,
         "path",
         "length",
