@@ -21,21 +21,24 @@ def decode(pred, vocabulary: list[str], missing: str, numeric: bool = False) ->
     if numeric:
         value = pred.cast("double")
         pred = F.when(~F.isnan(value), value.cast("bigint"))
-    number = F.trim(pred.cast("string")).try_cast("bigint")
-    known = F.get(labels, F.when(number.between(0, len(vocabulary) - 1), number).cast("int"))
-    return (
+    number = pred.try_cast("bigint")
+    unknown = (
         F.when(pred.isNull(), F.lit(missing))
         .when(number.isNull(), pred.cast("string"))
-        .otherwise(F.coalesce(known, F.concat(F.lit("UNK_"), number.cast("string"))))
+        .otherwise(F.concat(F.lit("UNK_"), number.cast("string")))
     )
+    # nearly every row ends at the lookup, which gives NULL for an index out of range
+    return F.coalesce(F.get(labels, pred.try_cast("int")), unknown)
+
+
+def has_prefix(c: Column) -> Column:
+    return c.startswith("B-") | c.startswith("I-")
 
 
 def strip_bio(label) -> Column:
     """Entity type of a BIO tag; flat labels pass, a missing one is ``O``."""
-    c = column(label)
-    return F.when(c.isNull() | (c == "nan"), F.lit("O")).otherwise(
-        F.regexp_replace(F.trim(c), "^[BI]-", "")
-    )
+    named = F.regexp_replace(F.coalesce(column(label), F.lit("nan")), "^nan$", "O")
+    return F.regexp_replace(F.trim(named), "^[BI]-", "")
 
 
 def flat_label(label) -> Column:
@@ -49,6 +52,6 @@ def bio_type(tag) -> Column:
     c = column(tag)
     return (
         F.when(c == "O", F.lit(None).cast("string"))
-        .when(c.rlike("^[BI]-"), F.substring(c, 3, 1 << 30))
+        .when(has_prefix(c), F.substring(c, 3, 1 << 30))
         .otherwise(F.concat(F.lit("bare:"), c))
     )

@@ -13,10 +13,12 @@ def column(c) -> Column:
 
 
 def is_blank(c, nan_text: bool = True) -> Column:
-    """NULL or empty; with ``nan_text`` also the text ``nan`` a frame writer leaves for a gap."""
-    c = column(c)
-    blank = c.isNull() | (c == "")
-    return blank | (c == "nan") if nan_text else blank
+    """NULL or empty; with ``nan_text`` also the text ``nan`` a frame writer leaves for a gap.
+
+    The column is named once only: a filter pushed down to a scan repeats every reference.
+    """
+    text = F.coalesce(column(c), F.lit(""))
+    return text.isin("", "nan") if nan_text else text == ""
 
 
 def ratio(part, whole) -> Column:

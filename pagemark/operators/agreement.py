@@ -15,10 +15,12 @@ def label_pairs(
     second=annotator_column("annotator2"),
     scope: list[str] = (),
     include_unlabelled: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """(scope…, label1, label2, n) of rows both annotators labelled.
 
-    ``include_unlabelled`` keeps the others too, a gap being the label `nan`.
+    ``include_unlabelled`` keeps the others too, a gap being the label `nan`. ``weight`` names the
+    count column of a frame that is counted already.
     """
     one, two = column(first).cast("string"), column(second).cast("string")
     if include_unlabelled:
@@ -26,9 +28,8 @@ def label_pairs(
         two = F.when(is_blank(two), F.lit("nan")).otherwise(two)
     else:
         df = df.filter(~is_blank(one) & ~is_blank(two))
-    return df.groupBy(*scope, one.alias("label1"), two.alias("label2")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*scope, one.alias("label1"), two.alias("label2")).agg(n.alias("n"))
 
 
 def kappa(pairs: DataFrame, scope: list[str] = ()) -> DataFrame:

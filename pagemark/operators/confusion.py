@@ -11,19 +11,64 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemark.functions.text import column, is_blank, ratio
+from pagemark.operators.labels import decode_column, flat_to_bio, with_evaluation_labels
+from pagemark.schemas import annotator_column
 from pagemark.vocabularies import SCORED_LAYOUT
 
 
+def label_combinations(
+    df: DataFrame,
+    scope: list[str] = (),
+    columns: list[str] = ("annotator1_label", "annotator2_label", "pred"),
+) -> DataFrame:
+    """(scope…, columns…, n): rows per combination of raw labels.
+
+    Decoding and comparing then touch combinations instead of rows.
+    """
+    return df.groupBy(*scope, *columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def confusion(
-    df: DataFrame, truth, pred, scope: list[str] = (), valid_only: bool = True
+    df: DataFrame, truth, pred, scope: list[str] = (), valid_only: bool = True, weight: str | None = None
 ) -> DataFrame:
-    """(scope…, truth, pred, n). With ``valid_only`` rows lacking either label are left out."""
+    """(scope…, truth, pred, n). With ``valid_only`` rows lacking either label are left out.
+
+    ``weight`` names the count column of a frame that is counted already. There the test for gaps
+    sits inside the sum, as a filter would be pushed down and run on every row of the source.
+    """
     truth, pred = column(truth).cast("string"), column(pred).cast("string")
-    if valid_only:
-        df = df.filter(~is_blank(truth) & ~is_blank(pred))
-    return df.groupBy(*scope, truth.alias("truth"), pred.alias("pred")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    valid = ~is_blank(truth) & ~is_blank(pred)
+    if weight is None:
+        df = df.filter(valid) if valid_only else df
+        n = F.count(F.lit(1))
+    else:
+        n = F.sum(F.when(valid, F.col(weight)) if valid_only else F.col(weight))
+    counts = df.groupBy(*scope, truth.alias("truth"), pred.alias("pred")).agg(n.alias("n"))
+    return counts if weight is None else counts.filter(F.col("n").isNotNull())
+
+
+def flat_confusion(
+    combinations: DataFrame, annotator: str, labels: list[str] | None, scope: list[str] = ()
+) -> DataFrame:
+    """Flat confusion counts of one annotator from `label_combinations`."""
+    judged = with_evaluation_labels(combinations, annotator, labels, bio=False)
+    return confusion(judged, "ground_truth_flat", "pred_flat", scope, weight="n")
+
+
+def bio_confusion(
+    df: DataFrame,
+    annotator: str,
+    labels: list[str] | None,
+    keys: list[str],
+    pos: str,
+    scope: list[str] = (),
+) -> DataFrame:
+    """BIO confusion counts: the truth is tagged row by row, predictions are decoded per count."""
+    tagged = flat_to_bio(df, keys, pos, annotator_column(annotator), "_truth")
+    counts = label_combinations(tagged, scope, ["_truth", "pred"])
+    if labels:
+        counts = decode_column(counts, labels, "UNK")
+    return confusion(counts, "_truth", "pred", scope, weight="n")
 
 
 def with_overall(
@@ -188,11 +233,15 @@ def confused_labels(counts: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def error_rate(df: DataFrame, truth, pred) -> DataFrame:
+def error_rate(df: DataFrame, truth, pred, weight: str | None = None) -> DataFrame:
     """Errors among valid rows over all rows: the denominator also counts rows with a blank label."""
     truth, pred = column(truth), column(pred)
+    n = F.lit(1).cast("bigint") if weight is None else F.col(weight)
     wrong = ~is_blank(truth) & ~is_blank(pred) & (truth != pred)
-    return df.agg(F.count_if(wrong).alias("total_errors"), F.count(F.lit(1)).alias("_n")).select(
+    summed = df.agg(
+        F.coalesce(F.sum(F.when(wrong, n)), F.lit(0)).alias("total_errors"), F.sum(n).alias("_n")
+    )
+    return summed.select(
         "total_errors", F.coalesce(ratio("total_errors", "_n"), F.lit(0.0)).alias("error_rate")
     )
 

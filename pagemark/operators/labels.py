@@ -41,7 +41,7 @@ def decode_by_table(
     lookup = vocab.select(
         F.col("idx").cast("bigint").alias("_idx"), F.col("label").alias("_label")
     ).dropDuplicates(["_idx"])
-    number = F.trim(F.col(source).cast("string")).try_cast("bigint")
+    number = F.col(source).try_cast("bigint")
     text = (
         F.when(F.col(source).isNull(), F.lit(missing))
         .when(F.col("_n").isNull(), F.col(source).cast("string"))

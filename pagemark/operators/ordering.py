@@ -3,6 +3,9 @@
 A plain window puts a whole document into one task. Here documents are cut into blocks by their
 position, windows run inside a block, and what crosses a block border travels in a summary of one
 row per block. All cuts are functions of the data, so a recomputed task gives the same rows.
+
+Document keys are expected not to be NULL: block summaries come back by plain equality, which lets
+the join and the windows share one exchange.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
+def _with_summary(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    return df.join(summary, [*keys, "_block"], "left")
+
+
 def _attach(df: DataFrame, extra: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Null-safe equi join that keeps the key columns of ``df`` only."""
     joined = df.alias("l").join(extra.alias("r"), _same("l", "r", keys), how)
@@ -57,15 +64,17 @@ def with_previous(
     carry = last.withColumn("_carry", F.lag("_last").over(over_blocks)).filter(
         F.col("_carry").isNotNull()
     )
-    joined = _attach(cut, carry.select(*keys, "_block", "_carry"), [*keys, "_block"])
+    joined = _with_summary(cut, carry.select(*keys, "_block", "_carry"), keys)
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
     first = F.row_number().over(inside) == 1
-    for new, source in values.items():
-        joined = joined.withColumn(
-            new,
-            F.when(first, F.col(f"_carry.{source}")).otherwise(F.lag(source).over(inside)),
-        )
-    return joined.drop("_block", "_carry")
+    # one select, so that all window functions share one window operator
+    return joined.select(
+        *df.columns,
+        *[
+            F.when(first, F.col(f"_carry.{source}")).otherwise(F.lag(source).over(inside)).alias(new)
+            for new, source in values.items()
+        ],
+    )
 
 
 def with_span_starts(
@@ -78,58 +87,64 @@ def with_span_starts(
     """
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = df.withColumn("_block", block(pos, bits)).withColumn(
-        "_first", F.row_number().over(inside) == 1
-    )
-    for tag in tags:
-        kind, before = bio_type(tag), F.lag(bio_type(tag)).over(inside)
-        # the first row of a block counts as a start for now; the carried type settles it below
-        begins = kind.isNotNull() & (
-            F.col("_first") | F.col(tag).startswith("B-") | ~kind.eqNullSafe(before)
-        )
-        cut = cut.withColumn(f"_begin_{tag}", F.when(begins, F.col(pos)))
-    summary = []
-    for tag in tags:
-        opened = F.when(~F.col("_first"), F.col(f"_begin_{tag}"))
-        summary += [
-            F.max(opened).alias(f"_later_{tag}"),
-            F.max(F.when(F.col("_first"), F.col(tag))).alias(f"_head_{tag}"),
-            F.max_by(tag, pos).alias(f"_tail_{tag}"),
-        ]
-    blocks = cut.groupBy(*keys, "_block").agg(F.min(pos).alias("_at"), *summary)
     over_blocks = Window.partitionBy(*keys).orderBy("_block")
     earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
-    for tag in tags:
-        kind = bio_type(f"_head_{tag}")
-        before = F.lag(bio_type(f"_tail_{tag}")).over(over_blocks)
-        opens = kind.isNotNull() & (
-            F.col(f"_head_{tag}").startswith("B-") | ~kind.eqNullSafe(before)
-        )
-        blocks = blocks.withColumn(f"_opens_{tag}", opens).withColumn(
-            f"_last_{tag}",
-            F.coalesce(f"_later_{tag}", F.when(F.col(f"_opens_{tag}"), F.col("_at"))),
+
+    def begins(tag: str, before: str) -> Column:
+        kind = bio_type(tag)
+        return kind.isNotNull() & (
+            F.col(tag).startswith("B-") | ~kind.eqNullSafe(bio_type(before))
         )
-        # where the span running into this block began, if the block does not open with its own
-        blocks = blocks.withColumn(f"_from_{tag}", F.max(f"_last_{tag}").over(earlier))
-        carried += [f"_opens_{tag}", f"_from_{tag}"]
+
+    neighbours = df.withColumn("_block", block(pos, bits)).select(
+        *df.columns,
+        "_block",
+        (F.row_number().over(inside) == 1).alias("_first"),
+        *[F.lag(t).over(inside).alias(f"_prev_{t}") for t in tags],
+    )
+    # the first row of a block counts as a start for now; the carried type settles it below
+    cut = neighbours.select(
+        *df.columns,
+        "_block",
+        "_first",
+        *[F.when(begins(t, f"_prev_{t}"), F.col(pos)).alias(f"_begin_{t}") for t in tags],
+    )
+    summary = [F.min(pos).alias("_at")]
+    for t in tags:
+        summary += [
+            F.max(F.when(~F.col("_first"), F.col(f"_begin_{t}"))).alias(f"_later_{t}"),
+            F.max(F.when(F.col("_first"), F.col(t))).alias(f"_head_{t}"),
+            F.max_by(t, pos).alias(f"_tail_{t}"),
+        ]
+    blocks = cut.groupBy(*keys, "_block").agg(*summary)
+    blocks = blocks.select("*", *[F.lag(f"_tail_{t}").over(over_blocks).alias(f"_before_{t}") for t in tags])
+    blocks = blocks.select("*", *[begins(f"_head_{t}", f"_before_{t}").alias(f"_opens_{t}") for t in tags])
+    last = {
+        t: F.coalesce(f"_later_{t}", F.when(F.col(f"_opens_{t}"), F.col("_at"))) for t in tags
+    }
+    # where the span running into a block began, if the block does not open with its own
+    blocks = blocks.select("*", *[F.max(last[t]).over(earlier).alias(f"_from_{t}") for t in tags])
     # only blocks whose head continues a span need a correction
     continues = reduce(
         lambda a, b: a | b,
         [~F.col(f"_opens_{t}") & bio_type(f"_head_{t}").isNotNull() for t in tags],
     )
-    corrections = blocks.filter(continues).select(*keys, "_block", *carried)
-    joined = _attach(cut, corrections, [*keys, "_block"])
-    for tag in tags:
-        opens = F.coalesce(F.col(f"_opens_{tag}"), F.lit(True))
-        begin = F.when(F.col("_first") & ~opens, F.col(f"_from_{tag}")).otherwise(
-            F.col(f"_begin_{tag}")
-        )
-        joined = joined.withColumn(
-            f"{tag}_start",
-            F.when(bio_type(tag).isNotNull(), F.max(begin).over(running)),
-        )
-    return joined.select(*df.columns, *[f"{t}_start" for t in tags])
+    corrections = blocks.filter(continues).select(
+        *keys, "_block", *[c for t in tags for c in (f"_opens_{t}", f"_from_{t}")]
+    )
+    joined = _with_summary(cut, corrections, keys)
+
+    def begin(t: str) -> Column:
+        opens = F.coalesce(F.col(f"_opens_{t}"), F.lit(True))
+        return F.when(F.col("_first") & ~opens, F.col(f"_from_{t}")).otherwise(F.col(f"_begin_{t}"))
+
+    return joined.select(
+        *df.columns,
+        *[
+            F.when(bio_type(t).isNotNull(), F.max(begin(t)).over(running)).alias(f"{t}_start")
+            for t in tags
+        ],
+    )
 
 
 def with_row_number(
@@ -144,11 +159,11 @@ def with_row_number(
     offsets = counts.withColumn("_offset", F.sum("_n").over(earlier)).filter(
         F.col("_offset").isNotNull()
     )
-    joined = _attach(cut, offsets.select(*keys, "_block", "_offset"), [*keys, "_block"])
+    joined = _with_summary(cut, offsets.select(*keys, "_block", "_offset"), keys)
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
     return joined.withColumn(
         out, F.row_number().over(inside).cast("bigint") + F.coalesce("_offset", F.lit(0))
-    ).drop("_block", "_offset")
+    ).select(*df.columns, out)
 
 
 def ranked(
@@ -159,15 +174,17 @@ def ranked(
     out: str,
     hot_rows: int = HOT_GROUP_ROWS,
     bits: int = BLOCK_BITS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of a group by integer columns ``leading`` (NULL last), then by ``pos``.
 
     Groups up to ``hot_rows`` rows take one window. Larger ones are ranked by counting smaller rows
     column by column, which never brings a group together. The list of large groups has at most
     rows / hot_rows entries, so it is broadcast; when it is empty, adaptive execution drops the
-    second branch.
+    second branch. ``sized_by``, a frame with at least ``df``'s rows per group, lets the sizes come
+    from a plain scan instead of ``df``'s own plan.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(*keys))
     order = [F.col(c).asc_nulls_last() for c in leading] + [F.col(pos).asc()]
     usual = _attach(df, hot, keys, "left_anti").withColumn(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELL = 64
-LAST_CELL = 16
+CELL = 128
+LAST_CELL = 7
 _BOX = ["x1", "y1", "x2", "y2"]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagemark.functions.boxes import COORDINATES, box_coordinates, confidence_band
 from pagemark.operators.dedup import collapse_top_k
 from pagemark.operators.ordering import HOT_GROUP_ROWS, ranked
+from pagemark.schemas import ANNOTATORS, annotator_column
 
 PAGE_KEY = ["case_id", "page_id"]
 
@@ -40,9 +41,10 @@ def reading_order(
     keys: list[str] = PAGE_KEY,
     out: str = "reading_pos",
     hot_rows: int = HOT_GROUP_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Number the words of a page top to bottom, then left to right; words without a box last."""
-    return ranked(tokens, keys, ["y1", "x1"], pos, out, hot_rows)
+    return ranked(tokens, keys, ["y1", "x1"], pos, out, hot_rows, sized_by=sized_by)
 
 
 def annotation_table(
@@ -56,11 +58,12 @@ def annotation_table(
     annotator columns at the end."""
     chosen = tokens if pages is None else page_tokens(tokens, pages, keys)
     collapsed = with_coordinates(collapse_top_k(chosen, [pos], word_key))
-    return (
-        reading_order(collapsed, pos, keys)
-        .withColumn("annotator1_label", F.lit(""))
-        .withColumn("annotator2_label", F.lit(""))
-    )
+    return with_annotator_columns(reading_order(collapsed, pos, keys, sized_by=chosen))
+
+
+def with_annotator_columns(df: DataFrame) -> DataFrame:
+    """Empty label columns for both annotators at the end."""
+    return df.withColumns({annotator_column(a): F.lit("") for a in ANNOTATORS})
 
 
 def document_name(case_id="case_id", page_id="page_id") -> Column:

@@ -71,12 +71,17 @@ def evaluate_annotations(
     label mode."""
     keys = [scope]
     judged = with_evaluation_labels(df, annotator, labels, keys, pos)
+    combinations = confusion.label_combinations(
+        df, keys, [c for c in ("annotator1_label", "annotator2_label", "pred") if c in df.columns]
+    )
     out: dict[str, DataFrame] = {}
     levels = ["level", scope]
-    for mode in ("flat", "bio"):
-        counts = _both_levels(
-            confusion.confusion(judged, f"ground_truth_{mode}", f"pred_{mode}", keys), scope
-        )
+    per_mode = {
+        "flat": confusion.flat_confusion(combinations, annotator, labels, keys),
+        "bio": confusion.bio_confusion(df, annotator, labels, keys, pos, keys),
+    }
+    for mode, documents in per_mode.items():
+        counts = _both_levels(documents, scope)
         report = confusion.class_report(counts, levels)
         out[f"confusion_{mode}"] = counts
         out[f"classes_{mode}"] = report
@@ -85,13 +90,19 @@ def evaluate_annotations(
     out["accuracy"] = confusion.accuracy(out["confusion_flat"], levels)
     out["error_pairs"] = confusion.error_pairs(flat)
     out["confused_labels"] = confusion.confused_labels(flat)
-    out["error_rate"] = confusion.error_rate(judged, "ground_truth_flat", "pred_flat")
-    out["layout"] = confusion.layout_accuracy(flat)
-    pairs = confusion.with_overall(
-        label_pairs(df, scope=keys), scope, ["label1", "label2"], ["n"]
+    out["error_rate"] = confusion.error_rate(
+        with_evaluation_labels(combinations, annotator, labels, bio=False),
+        "ground_truth_flat",
+        "pred_flat",
+        weight="n",
     )
-    out["kappa"] = kappa(pairs, levels)
-    out["disagreements"] = disagreements(pairs, levels)
+    out["layout"] = confusion.layout_accuracy(flat)
+    if {"annotator1_label", "annotator2_label"} <= set(df.columns):
+        pairs = confusion.with_overall(
+            label_pairs(combinations, scope=keys, weight="n"), scope, ["label1", "label2"], ["n"]
+        )
+        out["kappa"] = kappa(pairs, levels)
+        out["disagreements"] = disagreements(pairs, levels)
     out["sequence_scores"] = sequences.span_scores(
         sequences.span_counts(judged, keys, pos, "ground_truth_bio", "pred_bio")
     )
@@ -120,7 +131,6 @@ def averages_by_annotator(
     df: DataFrame, labels: list[str] | None, scope: list[str] = (), run: str | None = None
 ) -> DataFrame:
     """Flat scores with either annotator as the truth, one pass; stack runs with `unionByName`."""
-    judged = with_evaluation_labels(df, "annotator1", labels, bio=False)
     sides = F.explode(
         F.array(
             *[
@@ -129,18 +139,16 @@ def averages_by_annotator(
             ]
         )
     )
-    # counted per label triple first, so unpivoting touches few rows
-    triples = judged.groupBy(*scope, "annotator1_label", "annotator2_label", "pred_flat").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    long = triples.select(*scope, sides.alias("s"), "pred_flat", "_n").select(
-        *scope, "s.annotator", "s.truth", "pred_flat", "_n"
+    # unpivoted and decoded as combinations, which are few
+    long = (
+        with_evaluation_labels(
+            confusion.label_combinations(df, scope), "annotator1", labels, bio=False
+        )
+        .select(*scope, sides.alias("s"), "pred_flat", "n")
+        .select(*scope, "s.annotator", "s.truth", "pred_flat", "n")
     )
     by = ["annotator", *scope]
-    valid = long.filter(
-        ~confusion.is_blank("truth") & ~confusion.is_blank("pred_flat")
-    )
-    counts = valid.groupBy(*by, "truth", F.col("pred_flat").alias("pred")).agg(F.sum("_n").alias("n"))
+    counts = confusion.confusion(long, "truth", "pred_flat", by, weight="n")
     out = confusion.report_averages(confusion.class_report(counts, by), by)
     return out if run is None else out.withColumn("run", F.lit(run))
 

@@ -4,28 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagemark.functions.labels import decode, strip_bio
 from pagemark.operators import agreement, calibration, confusion, sequences
 from pagemark.operators.labels import with_evaluation_labels
 from pagemark.operators.ordering import indexed
-from pagemark.operators.pages import reading_order, with_coordinates
+from pagemark.operators.pages import reading_order
 from pagemark.plans.workflows import averages_by_annotator
-from workload.views import VOCAB, WORDS, r6, read, rounded, words
+from workload.views import VOCAB, WORDS, r6, read, rounded, tokens, words
 
 QUERIES, ORACLE = {}, {}
 SCORES = ["precision", "recall", "f1"]
 AVERAGES = ["accuracy", "micro_f1", *[f"{k}_{s}" for k in ("macro", "weighted") for s in SCORES]]
 
 
-def judged(spark, sf, bio=False, annotator="annotator1"):
-    return with_evaluation_labels(words(spark, sf), annotator, VOCAB, ["page_id"], "word_no", bio)
+def judged(spark, sf, coordinates=False):
+    df = words(spark, sf, coordinates=coordinates)
+    return with_evaluation_labels(df, "annotator1", VOCAB, bio=False)
 
 
 def flat_counts(spark, sf, scope=()):
-    return confusion.confusion(judged(spark, sf), "ground_truth_flat", "pred_flat", scope)
+    combinations = confusion.label_combinations(words(spark, sf), scope, ["annotator1_label", "pred"])
+    return confusion.flat_confusion(combinations, "annotator1", VOCAB, scope)
 
 
 def bio_counts(spark, sf, scope=()):
-    return confusion.confusion(judged(spark, sf, True), "ground_truth_bio", "pred_bio", scope)
+    return confusion.bio_confusion(words(spark, sf), "annotator1", VOCAB, ["page_id"], "word_no", scope)
 
 
 FLAT = f"""{WORDS},
@@ -107,15 +110,14 @@ SELECT level, page_id, {_AVERAGE} FROM cls GROUP BY ALL"""
 
 def token_f1(spark, sf):
     """Scores of raw predictions against the labels the documents came with."""
-    df = words(spark, sf).withColumn("pred", _flat_pred())
-    counts = confusion.confusion(df, "labels", "pred", valid_only=False)
+    counts = _label_counts(spark, sf)
     return rounded(confusion.report_averages(confusion.class_report(counts)), *AVERAGES)
 
 
-def _flat_pred():
-    from pagemark.functions.labels import decode, strip_bio
-
-    return strip_bio(decode("pred", VOCAB, "UNK"))
+def _label_counts(spark, sf, scope=()):
+    combinations = confusion.label_combinations(words(spark, sf), scope, ["labels", "pred"])
+    flat = strip_bio(decode("pred", VOCAB, "UNK"))
+    return confusion.confusion(combinations, "labels", flat, scope, valid_only=False, weight="n")
 
 
 LABELLED = f"""{WORDS},
@@ -145,9 +147,7 @@ FROM flat_rows GROUP BY truth"""
 
 
 def _pages(spark, sf):
-    df = words(spark, sf).withColumn("pred", _flat_pred())
-    counts = confusion.confusion(df, "labels", "pred", ["page_id"], valid_only=False)
-    return confusion.page_metrics(counts, "page_id")
+    return confusion.page_metrics(_label_counts(spark, sf, ["page_id"]), "page_id")
 
 
 _PAGES = f"""{LABELLED}, {_classes('labelled', 'page_id')},
@@ -157,7 +157,7 @@ page AS (SELECT page_id, CAST(sum(nt) AS BIGINT) AS num_tokens, sum(tp) / CAST(s
 
 def page_metrics(spark, sf):
     per_page = _pages(spark, sf)
-    ids = indexed(words(spark, sf).select("page_id").distinct(), ["page_id"], "page_index")
+    ids = indexed(tokens(spark, sf).select("page_id").distinct(), ["page_id"], "page_index")
     return rounded(per_page.join(ids, "page_id"), "accuracy", "f1_macro")
 
 
@@ -223,9 +223,10 @@ ORDER BY errors DESC, truth LIMIT 10"""
 
 
 def error_rate(spark, sf):
+    combinations = confusion.label_combinations(words(spark, sf), columns=["annotator2_label", "pred"])
+    df = with_evaluation_labels(combinations, "annotator2", VOCAB, bio=False)
     return rounded(
-        confusion.error_rate(judged(spark, sf, annotator="annotator2"), "ground_truth_flat", "pred_flat"),
-        "error_rate",
+        confusion.error_rate(df, "ground_truth_flat", "pred_flat", weight="n"), "error_rate"
     )
 
 
@@ -430,8 +431,8 @@ FROM flat_rows WHERE truth IN ('ADDRESS', 'MONEY', 'TITLE') GROUP BY truth"""
 
 
 def label_transitions(spark, sf):
-    df = with_coordinates(judged(spark, sf))
-    ordered = reading_order(df, "word_no", ["page_id"])
+    df = judged(spark, sf, coordinates=True)
+    ordered = reading_order(df, "word_no", ["page_id"], sized_by=tokens(spark, sf))
     return sequences.label_transitions(
         ordered, ["page_id"], "reading_pos", "ground_truth_flat", "pred_flat"
     )
@@ -456,7 +457,7 @@ SELECT CASE WHEN prob > 0.8 THEN 'high' WHEN prob >= 0.5 THEN 'medium' ELSE 'low
 
 
 def errors_by_quadrant(spark, sf):
-    df = with_coordinates(judged(spark, sf))
+    df = judged(spark, sf, coordinates=True)
     return calibration.errors_by_quadrant(df, "ground_truth_flat", "pred_flat")
 
 

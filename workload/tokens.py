@@ -224,9 +224,11 @@ FROM w"""
 def annotation_table(spark, sf):
     df = tokens(spark, sf).withColumnRenamed("word_no", "pos")
     # ties inside a word fall to the row order before the positions of words matter
-    best = dedup.collapse_top_k(df, ROW_ORDER, WORD_KEY).drop(*HIDDEN, "page_no", "annotator1_label",
-                                                               "annotator2_label")
-    return pages.annotation_table(best, None, "pos", WORD_KEY, ["page_id"]).drop("pos")
+    df = df.drop("page_no", "annotator1_label", "annotator2_label")
+    best = pages.with_coordinates(dedup.collapse_top_k(df, ROW_ORDER, WORD_KEY).drop(*HIDDEN))
+    return pages.with_annotator_columns(
+        pages.reading_order(best, "pos", ["page_id"], sized_by=df)
+    ).drop("pos")
 
 
 QUERIES["annotation_table"] = annotation_table
@@ -280,9 +282,9 @@ QUALIFY row_number() OVER (PARTITION BY page_id, labels, pred ORDER BY word_no,
 
 
 def reading_order(spark, sf):
-    df = dedup.collapse_top_k(tokens(spark, sf), ROW_ORDER, WORD_KEY)
-    df = pages.with_coordinates(_odd_boxes(df))
-    return pages.reading_order(df, "word_no", ["page_id"]).select(
+    every = tokens(spark, sf)
+    df = pages.with_coordinates(_odd_boxes(dedup.collapse_top_k(every, ROW_ORDER, WORD_KEY)))
+    return pages.reading_order(df, "word_no", ["page_id"], sized_by=every).select(
         "page_id", "word_ids", "y1", "x1", "reading_pos"
     )
 
@@ -295,7 +297,7 @@ FROM boxed"""
 
 
 def box_overlap(spark, sf):
-    out = box_overlaps(pages.with_coordinates(tokens(spark, sf, case=True)), ["case_id"])
+    out = box_overlaps(tokens(spark, sf, case=True, coordinates=True), ["case_id"])
     return rounded(out, "overlap_share")
 
 

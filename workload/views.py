@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemark.functions.boxes import COORDINATES
 from pagemark.operators.dedup import collapse_top_k
 from pagemark.session import apply_runtime_conf
 from pagemark.vocabularies import bio_labels
@@ -34,8 +35,11 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def tokens(spark: SparkSession, sf_dir: str, case: bool = False) -> DataFrame:
-    """One row per prediction. ``case`` joins the orders for the case id."""
+def tokens(
+    spark: SparkSession, sf_dir: str, case: bool = False, coordinates: bool = False
+) -> DataFrame:
+    """One row per prediction. ``case`` joins the orders for the case id, ``coordinates`` adds
+    x1, y1, x2, y2 as an annotation table has them."""
     flag = F.col("l_returnflag")
     label = F.when(flag == "A", "ADDRESS").when(flag == "R", "MONEY").otherwise("O")
     right = F.when(flag == "A", 1).when(flag == "R", 3).otherwise(0)
@@ -59,6 +63,7 @@ def tokens(spark: SparkSession, sf_dir: str, case: bool = False) -> DataFrame:
             F.concat_ws(", ", *[c.cast("string") for c in box]),
             F.lit(")"),
         ).alias("bboxes"),
+        *([c.cast("int").alias(n) for c, n in zip(box, COORDINATES)] if coordinates else []),
         label.alias("labels"),
         pred.cast("string").alias("pred"),
         ((100 - 9 * F.round(F.col("l_discount") * 100).cast("int")) / F.lit(100).cast("double")).alias(
@@ -76,9 +81,12 @@ def tokens(spark: SparkSession, sf_dir: str, case: bool = False) -> DataFrame:
     )
 
 
-def words(spark: SparkSession, sf_dir: str, case: bool = False) -> DataFrame:
+def words(
+    spark: SparkSession, sf_dir: str, case: bool = False, coordinates: bool = False
+) -> DataFrame:
     """One row per word: the best prediction of each (page, word)."""
-    return collapse_top_k(tokens(spark, sf_dir, case), ROW_ORDER, WORD_KEY).drop(*HIDDEN)
+    df = tokens(spark, sf_dir, case, coordinates)
+    return collapse_top_k(df, ROW_ORDER, WORD_KEY).drop(*HIDDEN)
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
