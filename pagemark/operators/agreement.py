@@ -56,8 +56,8 @@ def kappa(pairs: DataFrame, scope: list[str] = ()) -> DataFrame:
         ),
     )
     marginals = (
-        pairs.select(*scope, F.explode(sides).alias("s"))
-        .select(*scope, "s.*")
+        pairs.select(*scope, F.explode(sides).alias("_side"))
+        .select(*scope, "_side.*")
         .groupBy(*scope, "label")
         .agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "agree", "total")])
     )

@@ -108,8 +108,8 @@ def class_counts(counts: DataFrame, scope: list[str] = ()) -> DataFrame:
         F.array(part(F.col("truth"), zero, n, zero), part(F.col("pred"), zero, zero, n))
     )
     return (
-        counts.select(*scope, F.explode(parts).alias("p"))
-        .select(*scope, "p.*")
+        counts.select(*scope, F.explode(parts).alias("_part"))
+        .select(*scope, "_part.*")
         .groupBy(*scope, "label")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "n_true", "n_pred")])
     )

@@ -76,8 +76,8 @@ def span_counts(
                     as_pred["pred_at"].alias("pred_at"),
                 ),
             )
-        ).alias("s"),
-    ).select(*keys, "s.*")
+        ).alias("_side"),
+    ).select(*keys, "_side.*")
     ends = (
         rows.filter(F.col("start").isNotNull())
         .groupBy(*keys, "entity_type", "start")

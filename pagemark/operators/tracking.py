@@ -70,8 +70,8 @@ def annotator_view(assignments: DataFrame) -> DataFrame:
     )
     hidden = [c for s in SLOTS for c in (f"assignee{s}", done(s))]
     kept = [c for c in assignments.columns if c not in hidden and c != "notes"]
-    return assignments.select(*kept, F.explode(slots).alias("s"), "notes").select(
-        "s.slot", *kept, "s.assignee", "s.has_completed", "notes"
+    return assignments.select(*kept, F.explode(slots).alias("_s"), "notes").select(
+        "_s.slot", *kept, "_s.assignee", "_s.has_completed", "notes"
     )
 
 
@@ -89,16 +89,17 @@ def case_index(assignments: DataFrame, annotators=None, suffix: str = "") -> Dat
     )
 
 
-def split_by_status(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose status columns all say yes or no, and the rest for quarantine."""
+def status_known(columns: list[str]) -> Column:
+    """Whether all status columns say yes or no."""
     good = F.lit(True)
     for c in columns:
         good = good & F.coalesce(F.lower(c).isin("yes", "no"), F.lit(False))
-    return df.filter(good), df.filter(~good)
+    return good
 
 
 def rejected_updates(updates: DataFrame) -> DataFrame:
-    return split_by_status(updates, ["status"])[1]
+    """Updates with a status other than yes or no."""
+    return updates.filter(~status_known(["status"]))
 
 
 def apply_updates(assignments: DataFrame, updates: DataFrame, ord: str = "ord") -> DataFrame:
@@ -110,7 +111,7 @@ def apply_updates(assignments: DataFrame, updates: DataFrame, ord: str = "ord")
     """
     assignments = resolve_page_id(assignments)
     updates = resolve_page_id(updates)
-    valid, _ = split_by_status(updates, ["status"])
+    valid = updates.filter(status_known(["status"]))
     who = F.when(~is_blank("annotator", False), F.col("annotator"))
     folded = (
         valid.select(*PAGE_KEY, who.alias("_who"), F.lower("status").alias("_status"), F.col(ord).alias("_ord"))
@@ -210,11 +211,11 @@ def productivity(assignments: DataFrame) -> DataFrame:
         ]
     )
     return (
-        combos.select(F.explode(slots).alias("s"), "_n")
-        .groupBy(F.col("s.annotator").alias("annotator"))
+        combos.select(F.explode(slots).alias("_s"), "_n")
+        .groupBy(F.col("_s.annotator").alias("annotator"))
         .agg(
             F.sum("_n").alias("assigned"),
-            F.sum(F.when(F.col("s.done"), F.col("_n")).otherwise(0)).alias("completed"),
+            F.sum(F.when(F.col("_s.done"), F.col("_n")).otherwise(0)).alias("completed"),
         )
         .withColumn("completion_rate", percent("completed", "assigned"))
     )

@@ -144,8 +144,8 @@ def averages_by_annotator(
         with_evaluation_labels(
             confusion.label_combinations(df, scope), "annotator1", labels, bio=False
         )
-        .select(*scope, sides.alias("s"), "pred_flat", "n")
-        .select(*scope, "s.annotator", "s.truth", "pred_flat", "n")
+        .select(*scope, sides.alias("_side"), "pred_flat", "n")
+        .select(*scope, "_side.annotator", "_side.truth", "pred_flat", "n")
     )
     by = ["annotator", *scope]
     counts = confusion.confusion(long, "truth", "pred_flat", by, weight="n")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemark.functions.text import file_stem
-from pagemark.operators.tracking import split_by_status
+from pagemark.operators.tracking import status_known
 from pagemark.schemas import (
     PREDICTION_REQUIRED,
     TOKEN_FILE_COLUMNS,
@@ -20,7 +20,7 @@ TOKEN_FILES = "*/processing/form-recogniser/df_check.csv"
 IMAGE_FILES = "*/images/*.jpeg"
 JSON_FILES = "*/extracted_text_json/*.json"
 _CORRUPT = "_corrupt_record"
-_PATH = F.col("_metadata.file_path")
+_PATH = "_metadata.file_path"
 
 
 def file_position() -> Column:
@@ -54,7 +54,7 @@ def _header(spark: SparkSession, path) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def _case_from(path: Column, below: str) -> Column:
+def _case_from(path: str, below: str) -> Column:
     return F.url_decode(F.regexp_extract(path, rf"/([^/]+)/{below}/", 1))
 
 
@@ -62,7 +62,7 @@ def _single_layout(
     spark: SparkSession, path: str, columns: list[str], case_id, multi_line: bool
 ) -> DataFrame:
     raw = _csv(spark, columns, multi_line).csv(path)
-    case = _case_from(_PATH, "processing") if case_id is None else case_id(_PATH)
+    case = _case_from(_PATH, "processing") if case_id is None else case_id(F.col(_PATH))
     scanned = raw.select(case.alias("case_id"), "*", file_position().alias("pos"))
     out = scanned if "page_id" in columns else scanned.withColumnRenamed(
         "image_id" if "image_id" in columns else columns[0], "page_id"
@@ -126,9 +126,9 @@ def scan_assignments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     raw = resolve_page_id(raw).na.fill("", ["notes"] if "notes" in header else [])
     status = ["has_assignee1_completed", "has_assignee2_completed"]
     require_columns(raw, ["case_id", "assignee1", "assignee2", *status], "the assignments")
-    good, bad = split_by_status(raw.filter(F.col(_CORRUPT).isNull()), status)
-    broken = raw.filter(F.col(_CORRUPT).isNotNull())
-    return good.drop(_CORRUPT), broken.unionByName(bad)
+    # one condition over status and record: the reader refuses queries on the record column alone
+    fits = status_known(status) & F.col(_CORRUPT).isNull()
+    return raw.filter(fits).drop(_CORRUPT), raw.filter(~fits)
 
 
 def scan_updates(spark: SparkSession, path: str) -> DataFrame:
@@ -173,7 +173,7 @@ def scan_images(spark: SparkSession, cases_dir: str, files: str = IMAGE_FILES) -
     """Page images by path and size; the image bytes are never read."""
     raw = spark.read.format("binaryFile").load(f"{cases_dir}/{files}")
     return raw.select(
-        _case_from(F.col("path"), "images").alias("case_id"),
+        _case_from("path", "images").alias("case_id"),
         file_stem("path").alias("page_id"),
         "path",
         "length",
