@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,65 +63,58 @@ def structure_profile(df: DataFrame, json: str = "json", max_depth: int = 3) ->
 
     Size counts the entries of an object or list. List items share the path ``name[]``; containers
     at the depth limit are listed without looking inside. Documents that do not parse have no rows.
+    Every document is read and parsed once and leaves as its nodes.
     """
-    level = df.select(F.lit("$").alias("path"), parsed(json).alias("v")).filter(
-        F.col("v").isNotNull()
+    root = F.array(F.struct(F.lit("$").alias("path"), F.col("_v").alias("v")))
+    level, levels = root, [root]
+    for _ in range(max_depth):
+        level = F.flatten(F.transform(level, _children))
+        levels.append(level)
+    nodes = (
+        df.select(parsed(json).alias("_v"))
+        .filter(F.col("_v").isNotNull())
+        .select(F.explode(F.concat(*levels)).alias("_node"))
+        .select("_node.path", F.col("_node.v").alias("v"))
     )
-    levels = []
-    for depth in range(max_depth + 1):
-        levels.append(_described(level))
-        if depth < max_depth:
-            level = _children(level)
-    found = reduce(DataFrame.unionAll, levels)
-    return found.groupBy("path", "kind").agg(
-        F.count(F.lit(1)).alias("values"),
-        F.min("size").alias("min_size"),
-        F.max("size").alias("max_size"),
-        F.min("text").alias("sample"),
+    kind = F.regexp_extract(F.schema_of_variant("v"), r"^(\w+)", 1)
+    size = F.when(F.col("kind") == "ARRAY", F.size(_as_list(F.col("v")))).when(
+        F.col("kind") == "OBJECT", F.size(_as_object(F.col("v")))
+    )
+    value = F.try_variant_get(F.col("v"), "$", "string")
+    leaf = ~F.col("kind").isin("ARRAY", "OBJECT")
+    return (
+        nodes.withColumn("kind", kind)
+        .select("path", "kind", size.cast("bigint").alias("size"), F.when(leaf, value).alias("text"))
+        .groupBy("path", "kind")
+        .agg(
+            F.count(F.lit(1)).alias("values"),
+            F.min("size").alias("min_size"),
+            F.max("size").alias("max_size"),
+            F.min(shorten("text")).alias("sample"),
+        )
     )
 
 
-def _kind(v) -> Column:
-    return F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
-
-
-def _as_list(v: str) -> Column:
-    return F.try_variant_get(F.col(v), "$", "array<variant>")
+def _as_list(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _as_object(v: str) -> Column:
-    return F.try_variant_get(F.col(v), "$", "map<string,variant>")
+def _as_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def _described(level: DataFrame) -> DataFrame:
-    kind = _kind(F.col("v"))
-    size = F.when(kind == "ARRAY", F.size(_as_list("v"))).when(
-        kind == "OBJECT", F.size(_as_object("v"))
-    )
-    leaf = ~kind.isin("ARRAY", "OBJECT")
-    return level.select(
-        "path",
-        kind.alias("kind"),
-        size.cast("bigint").alias("size"),
-        F.when(leaf, shorten(F.try_variant_get(F.col("v"), "$", "string"))).alias("text"),
-    )
+def _children(node: Column) -> Column:
+    """The entries of an object or list node with their paths; nothing for a value."""
 
+    def entry(suffix: Column, v: Column) -> Column:
+        return F.struct(F.concat(node["path"], suffix).alias("path"), v.alias("v"))
 
-def _children(level: DataFrame) -> DataFrame:
-    kind = _kind(F.col("v"))
-    entry = "struct<suffix:string,v:variant>"
-    of_object = F.transform(
-        F.map_entries(_as_object("v")),
-        lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("suffix"), e["value"].alias("v")),
-    )
-    of_list = F.transform(
-        _as_list("v"), lambda e: F.struct(F.lit("[]").alias("suffix"), e.alias("v"))
-    )
-    children = F.when(kind == "OBJECT", of_object).when(kind == "ARRAY", of_list)
-    return (
-        level.select("path", F.explode(children.cast(f"array<{entry}>")).alias("c"))
-        .select(F.concat("path", "c.suffix").alias("path"), F.col("c.v").alias("v"))
+    items = F.transform(_as_list(node["v"]), lambda e: entry(F.lit("[]"), e))
+    members = F.transform(
+        F.map_entries(_as_object(node["v"])),
+        lambda e: entry(F.concat(F.lit("."), e["key"]), e["value"]),
     )
+    return F.coalesce(items, members, F.filter(F.array(node), lambda _: F.lit(False)))
 
 
 def merged_schema(df: DataFrame, json: str = "json") -> DataFrame:

@@ -79,42 +79,34 @@ def confidence_counts(tokens: DataFrame, by: list[str] = ()) -> DataFrame:
 
 def page_reconciliation(
     pages: DataFrame,
-    cases: DataFrame,
-    token_cases: DataFrame,
-    images: DataFrame,
     token_pages: DataFrame,
+    cases: DataFrame | None = None,
+    token_cases: DataFrame | None = None,
+    images: DataFrame | None = None,
     unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """Why a listed page got no annotation document: the first reason that holds, else `ok`.
 
     `cases`, `token_cases` and `unreadable` hold `case_id`; `images` and `token_pages` hold page
-    keys. Each is reduced to distinct keys before its join.
+    keys; a check whose table is not given passes. Each table is reduced to distinct keys before its
+    join, so only the page side can be skewed, and adaptive execution splits that.
     """
-
-    def flagged(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
-        return df.select(*keys).distinct().withColumn(flag, F.lit(True))
-
-    out = pages
-    lookups = [
-        (cases, ["case_id"], "_case"),
-        (token_cases, ["case_id"], "_tokens"),
-        (images, PAGE_KEY, "_image"),
-        (token_pages, PAGE_KEY, "_rows"),
+    checks = [
+        ("case_missing", cases, ["case_id"], False),
+        ("tokens_missing", token_cases, ["case_id"], False),
+        ("image_missing", images, PAGE_KEY, False),
+        ("unreadable", unreadable, ["case_id"], True),
+        ("no_rows", token_pages, PAGE_KEY, False),
     ]
-    if unreadable is not None:
-        lookups.append((unreadable, ["case_id"], "_broken"))
-    for df, keys, flag in lookups:
-        out = out.join(flagged(df, keys, flag), keys, "left")
-    broken = F.col("_broken").isNotNull() if unreadable is not None else F.lit(False)
-    status = (
-        F.when(F.col("_case").isNull(), "case_missing")
-        .when(F.col("_tokens").isNull(), "tokens_missing")
-        .when(F.col("_image").isNull(), "image_missing")
-        .when(broken, "unreadable")
-        .when(F.col("_rows").isNull(), "no_rows")
-        .otherwise("ok")
-    )
-    return out.withColumn("status", status).drop(*[flag for _, _, flag in lookups])
+    out, reasons = pages, []
+    for reason, known, keys, found_is_bad in checks:
+        if known is None:
+            continue
+        mark = f"_{reason}"
+        out = out.join(known.select(*keys).distinct().withColumn(mark, F.lit(True)), keys, "left")
+        found = F.col(mark).isNotNull()
+        reasons.append(F.when(found if found_is_bad else ~found, reason))
+    return out.select(*pages.columns, F.coalesce(*reasons, F.lit("ok")).alias("status"))
 
 
 def id_reconciliation(listed: DataFrame, found: DataFrame, key: str) -> DataFrame:

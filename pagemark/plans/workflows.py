@@ -34,14 +34,12 @@ def prepare(
 
     Without ``images`` or ``cases`` those checks pass.
     """
-    token_cases = tokens.select("case_id").distinct()
-    token_pages = tokens.select("case_id", "page_id").distinct()
     reconciled = pages.page_reconciliation(
         page_list.select("case_id", "page_id").distinct(),
-        page_list.select("case_id") if cases is None else cases,
-        token_cases,
-        page_list if images is None else images,
-        token_pages,
+        tokens,
+        cases=cases,
+        token_cases=tokens,
+        images=images,
     )
     ready = reconciled.filter(F.col("status") == "ok").select("case_id", "page_id")
     assignments = tracking.tracking_rows(ready, share, annotators)
@@ -119,12 +117,19 @@ def evaluate_annotations(
         out["errors_by_band"] = errors_by_band(judged, "ground_truth_flat", "pred_flat")
     if "x1" in df.columns and "y1" in df.columns:
         out["errors_by_quadrant"] = errors_by_quadrant(judged, "ground_truth_flat", "pred_flat")
-    out["summary"] = df.agg(
+    out["summary"] = evaluation_summary(df, labels, annotator, scope)
+    return out
+
+
+def evaluation_summary(
+    df: DataFrame, labels: list[str] | None, annotator: str = "annotator1", scope: str = "file"
+) -> DataFrame:
+    """Documents evaluated, the annotator taken as truth, and the size of the vocabulary."""
+    return df.agg(
         F.count_distinct(scope).alias("total_files"),
         F.lit(annotator).alias("ground_truth_annotator"),
         F.lit(len(labels or [])).alias("total_entity_labels"),
     )
-    return out
 
 
 def averages_by_annotator(

@@ -51,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    configured = context.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
+        "spark.checkpoint.dir", None
+    )
     if not configured:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

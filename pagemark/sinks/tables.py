@@ -15,9 +15,19 @@ def _write_partitioned(df: DataFrame, path: str, by: list[str], order: list[str]
     ).partitionBy(*by).parquet(path)
 
 
-def write_annotations(df: DataFrame, path: str, order: list[str] = ("reading_pos",)) -> None:
-    """One partition per annotation document, its rows in reading order."""
-    _write_partitioned(df, path, ["case_id", "page_id"], list(order))
+def write_annotations(
+    df: DataFrame,
+    path: str,
+    order: list[str] = ("reading_pos",),
+    by: list[str] = ("case_id", "page_id"),
+) -> None:
+    """One partition per annotation document, its rows in reading order.
+
+    A folder per page is what annotators are handed. A corpus of many millions of pages is better
+    kept with ``by=["case_id"]``; the rows are sorted by page within a file then.
+    """
+    rest = [c for c in ("case_id", "page_id") if c not in by]
+    _write_partitioned(df, path, list(by), [*rest, *order])
 
 
 def write_annotator_views(assignments: DataFrame, path: str) -> None:

@@ -157,6 +157,8 @@ def test_prepare_to_evaluation(spark, cases, tmp_path):
     back = sources.scan_annotations(spark, stored)
     assert {r.file for r in back.select("file").distinct().collect()} == {
         "1-12ABCDEF_9876543210_01_0", "1-12ABCDEF_9876543210_02_0", "1-15XYZWQP_1122334455_01_1"}
+    sinks.write_annotations(everything["annotations"], str(tmp_path / "by_case"), by=["case_id"])
+    assert spark.read.parquet(str(tmp_path / "by_case")).count() == back.count() == 5
     filled = fill(back, BIO_VOCABULARY, ["reading_pos"])
     assert filled["annotations"].filter("annotator1_label = 'O' or annotator1_label = 'B-PER'").count() == 5
     cleaned = cleanup(filled["annotations"], "annotator1", ["reading_pos"])

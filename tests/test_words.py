@@ -261,3 +261,21 @@ def test_audit(spark):
     rows = spark.createDataFrame([("f", "x", None), ("f", "x", None), ("f", "x", None), ("g", "x", None)], "file string, a string, b string")
     got = {r.file: r.duplicates for r in audit.duplicate_rows(rows, "file").collect()}
     assert got == {"f": 2, "g": 0, "all": 2}
+
+
+def test_row_functions_on_a_stream(spark, tmp_path):
+    """Row-wise expressions hold no state, so they run on streaming input unchanged."""
+    src = str(tmp_path / "in")
+    df = spark.createDataFrame([("1", "(1, 2, 3, 4)", 0.9), ("9", "x", 0.1)], "pred string, bboxes string, prob double")
+    df.write.parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    out = labels.decode_column(pages.with_coordinates(stream), ["O", "B-ORG"], "UNK").withColumn(
+        "flat", fn.strip_bio("pred")
+    ).withColumn("band", fn.confidence_band("prob"))
+    query = (
+        out.writeStream.format("memory").queryName("rows")
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(120)
+    got = {(r.pred, r.x1, r.flat, r.band) for r in spark.table("rows").collect()}
+    assert got == {("B-ORG", 1, "ORG", "high"), ("UNK_9", None, "UNK_9", "low")}

@@ -9,6 +9,7 @@ from pagemark.operators import agreement, calibration, confusion, sequences
 from pagemark.operators.labels import with_evaluation_labels
 from pagemark.operators.ordering import indexed
 from pagemark.operators.pages import reading_order
+from pagemark.plans import workflows
 from pagemark.plans.workflows import averages_by_annotator
 from workload.views import VOCAB, WORDS, r6, read, rounded, tokens, words
 
@@ -502,10 +503,7 @@ SELECT case_id, annotator, {_AVERAGE} FROM cls GROUP BY ALL"""
 
 
 def evaluation_summary(spark, sf):
-    from pagemark.plans import evaluate_annotations
-
-    df = words(spark, sf).withColumn("file", F.col("page_id"))
-    return evaluate_annotations(df, VOCAB, pos="word_no")["summary"]
+    return workflows.evaluation_summary(words(spark, sf), VOCAB, scope="page_id")
 
 
 QUERIES["evaluation_summary"] = evaluation_summary
