@@ -10,6 +10,7 @@ the join and the windows share one exchange.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -174,24 +175,28 @@ def ranked(
     out: str,
     hot_rows: int = HOT_GROUP_ROWS,
     bits: int = BLOCK_BITS,
-    sized_by: DataFrame | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Number the rows of a group by integer columns ``leading`` (NULL last), then by ``pos``.
 
     Groups up to ``hot_rows`` rows take one window. Larger ones are ranked by counting smaller rows
     column by column, which never brings a group together. The list of large groups has at most
     rows / hot_rows entries, so it is broadcast; when it is empty, adaptive execution drops the
-    second branch. ``sized_by``, a frame with at least ``df``'s rows per group, lets the sizes come
-    from a plain scan instead of ``df``'s own plan.
+    second branch.
+
+    ``prepare`` is what happens to the rows of a group before they are numbered, such as collapsing
+    them; it must work group by group and add no rows. As the groups are told apart before it, its
+    shuffles run once, and not at all for an empty branch.
     """
-    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    prepare = prepare or (lambda part: part)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(*keys))
     order = [F.col(c).asc_nulls_last() for c in leading] + [F.col(pos).asc()]
-    usual = _attach(df, hot, keys, "left_anti").withColumn(
+    usual = prepare(_attach(df, hot, keys, "left_anti")).withColumn(
         out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
     )
-    large = _ranked_by_counting(_attach(df, hot, keys, "left_semi"), keys, leading, pos, out, bits)
-    return usual.unionByName(large)
+    large = prepare(_attach(df, hot, keys, "left_semi"))
+    return usual.unionByName(_ranked_by_counting(large, keys, leading, pos, out, bits))
 
 
 def _ranked_by_counting(df, keys, leading, pos, out, bits):

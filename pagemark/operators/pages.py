@@ -41,10 +41,13 @@ def reading_order(
     keys: list[str] = PAGE_KEY,
     out: str = "reading_pos",
     hot_rows: int = HOT_GROUP_ROWS,
-    sized_by: DataFrame | None = None,
+    prepare=None,
 ) -> DataFrame:
-    """Number the words of a page top to bottom, then left to right; words without a box last."""
-    return ranked(tokens, keys, ["y1", "x1"], pos, out, hot_rows, sized_by=sized_by)
+    """Number the words of a page top to bottom, then left to right; words without a box last.
+
+    ``prepare`` turns the given rows into the words to number, see `ordering.ranked`.
+    """
+    return ranked(tokens, keys, ["y1", "x1"], pos, out, hot_rows, prepare=prepare)
 
 
 def annotation_table(
@@ -53,12 +56,19 @@ def annotation_table(
     pos: str = "pos",
     word_key: list[str] | None = None,
     keys: list[str] = PAGE_KEY,
+    tie_order: list[str] | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Tokens of the listed pages, collapsed, with coordinates, reading position, and two empty
-    annotator columns at the end."""
+    annotator columns at the end. ``tie_order`` settles ties of the collapse, ``pos`` by default."""
     chosen = tokens if pages is None else page_tokens(tokens, pages, keys)
-    collapsed = with_coordinates(collapse_top_k(chosen, [pos], word_key))
-    return with_annotator_columns(reading_order(collapsed, pos, keys, sized_by=chosen))
+
+    def collapsed(part: DataFrame) -> DataFrame:
+        return with_coordinates(collapse_top_k(part, tie_order or [pos], word_key))
+
+    return with_annotator_columns(
+        reading_order(chosen, pos, keys, hot_rows=hot_rows, prepare=collapsed)
+    )
 
 
 def with_annotator_columns(df: DataFrame) -> DataFrame:

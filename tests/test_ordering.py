@@ -136,6 +136,23 @@ def test_ranked(spark, hot_rows):
     assert got == want
 
 
+def test_annotation_table_of_large_pages(spark):
+    """The path for large pages gives the same table as the usual one."""
+    from pagemark.operators.pages import annotation_table
+
+    rng = random.Random(3)
+    rows = [
+        (f"c{i % 2}", f"p{i % 3}", str(rng.randrange(9)), f"({rng.randrange(4)}, {rng.randrange(4)}, 9, 9)"
+         if i % 7 else "none", str(rng.randrange(3)), rng.choice(["0.5", "0.9"]), i)
+        for i in range(90)
+    ]
+    df = spark.createDataFrame(
+        rows, "case_id string, page_id string, word_ids string, bboxes string, pred string, prob string, pos bigint")
+    usual = annotation_table(df).collect()
+    for hot_rows in (0, 14, 15):
+        assert sorted(map(str, annotation_table(df, hot_rows=hot_rows).collect())) == sorted(map(str, usual))
+
+
 def test_indexed(spark):
     names = [f"page{i:03}.csv" for i in range(137)]
     df = spark.createDataFrame([(n,) for n in names], "file string").repartition(6)

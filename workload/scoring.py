@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from pagemark.functions.labels import decode, strip_bio
 from pagemark.operators import agreement, calibration, confusion, sequences
+from pagemark.operators.dedup import collapse_top_k
 from pagemark.operators.labels import with_evaluation_labels
 from pagemark.operators.ordering import indexed
 from pagemark.operators.pages import reading_order
 from pagemark.plans import workflows
 from pagemark.plans.workflows import averages_by_annotator
-from workload.views import VOCAB, WORDS, r6, read, rounded, tokens, words
+from workload.views import ROW_ORDER, VOCAB, WORD_KEY, WORDS, r6, read, rounded, tokens, words
 
 QUERIES, ORACLE = {}, {}
 SCORES = ["precision", "recall", "f1"]
@@ -432,8 +433,13 @@ FROM flat_rows WHERE truth IN ('ADDRESS', 'MONEY', 'TITLE') GROUP BY truth"""
 
 
 def label_transitions(spark, sf):
-    df = judged(spark, sf, coordinates=True)
-    ordered = reading_order(df, "word_no", ["page_id"], sized_by=tokens(spark, sf))
+    def best(part):
+        collapsed = collapse_top_k(part, ROW_ORDER, WORD_KEY)
+        return with_evaluation_labels(collapsed, "annotator1", VOCAB, bio=False)
+
+    ordered = reading_order(
+        tokens(spark, sf, coordinates=True), "word_no", ["page_id"], prepare=best
+    )
     return sequences.label_transitions(
         ordered, ["page_id"], "reading_pos", "ground_truth_flat", "pred_flat"
     )

@@ -9,7 +9,6 @@ from pagemark.functions.labels import decode, strip_bio
 from pagemark.operators import dedup, pages
 from pagemark.operators.overlap import box_overlaps
 from workload.views import (
-    HIDDEN,
     ROW_ORDER,
     SUFFIX,
     TOK,
@@ -223,12 +222,11 @@ FROM w"""
 
 def annotation_table(spark, sf):
     df = tokens(spark, sf).withColumnRenamed("word_no", "pos")
+    df = df.drop("page_no", "l_discount", "annotator1_label", "annotator2_label")
     # ties inside a word fall to the row order before the positions of words matter
-    df = df.drop("page_no", "annotator1_label", "annotator2_label")
-    best = pages.with_coordinates(dedup.collapse_top_k(df, ROW_ORDER, WORD_KEY).drop(*HIDDEN))
-    return pages.with_annotator_columns(
-        pages.reading_order(best, "pos", ["page_id"], sized_by=df)
-    ).drop("pos")
+    return pages.annotation_table(
+        df, None, "pos", WORD_KEY, ["page_id"], tie_order=ROW_ORDER
+    ).drop("pos", *ROW_ORDER)
 
 
 QUERIES["annotation_table"] = annotation_table
@@ -282,9 +280,10 @@ QUALIFY row_number() OVER (PARTITION BY page_id, labels, pred ORDER BY word_no,
 
 
 def reading_order(spark, sf):
-    every = tokens(spark, sf)
-    df = pages.with_coordinates(_odd_boxes(dedup.collapse_top_k(every, ROW_ORDER, WORD_KEY)))
-    return pages.reading_order(df, "word_no", ["page_id"], sized_by=every).select(
+    def best(part):
+        return pages.with_coordinates(_odd_boxes(dedup.collapse_top_k(part, ROW_ORDER, WORD_KEY)))
+
+    return pages.reading_order(tokens(spark, sf), "word_no", ["page_id"], prepare=best).select(
         "page_id", "word_ids", "y1", "x1", "reading_pos"
     )
 
