@@ -202,29 +202,27 @@ def ranked(
 def _ranked_by_counting(df, keys, leading, pos, out, bits):
     last = (1 << 62) - 1
     steps = [f"_s{i}" for i in range(len(leading) + 1)]
-    for step, name in zip(steps, leading):
-        df = df.withColumn(step, F.coalesce(F.col(name).cast("bigint"), F.lit(last)))
-    df = df.withColumn(steps[-1], block(pos, bits))
+    values = [F.coalesce(F.col(c).cast("bigint"), F.lit(last)) for c in leading] + [block(pos, bits)]
+    df = df.withColumns(dict(zip(steps, values)))
     cells = df.groupBy(*keys, *steps).agg(F.count(F.lit(1)).alias("_n"))
-    result = df.withColumn(
-        out,
-        F.row_number().over(Window.partitionBy(*keys, *steps).orderBy(pos)).cast("bigint"),
-    )
+    inside = Window.partitionBy(*keys, *steps).orderBy(pos)
+    result = df.withColumn(out, F.row_number().over(inside).cast("bigint"))
+    smaller = []
     for depth, step in enumerate(steps):
-        prefix = [*keys, *steps[:depth]]
-        counts = cells.groupBy(*prefix, step).agg(F.sum("_n").alias("_n"))
+        # rows of the group that agree on the columns before this one and are smaller in it
+        prefix, offset = [*keys, *steps[:depth]], f"_offset{depth}"
         earlier = (
             Window.partitionBy(*prefix).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
         )
-        offsets = counts.withColumn("_offset", F.sum("_n").over(earlier)).filter(
-            F.col("_offset").isNotNull()
-        )
-        result = (
-            _attach(result, offsets.select(*prefix, step, "_offset"), [*prefix, step])
-            .withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0)))
-            .drop("_offset")
+        counts = cells.groupBy(*prefix, step).agg(F.sum("_n").alias("_n"))
+        offsets = counts.select(*prefix, step, F.sum("_n").over(earlier).alias(offset)).filter(
+            F.col(offset).isNotNull()
         )
-    return result.drop(*steps)
+        result = _attach(result, offsets, [*prefix, step])
+        smaller.append(F.coalesce(offset, F.lit(0)))
+    return result.withColumn(out, sum(smaller, F.col(out))).drop(
+        *steps, *[f"_offset{d}" for d in range(len(steps))]
+    )
 
 
 def indexed(df: DataFrame, order: list[str], out: str) -> DataFrame:

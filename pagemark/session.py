@@ -27,6 +27,8 @@ def local_session(cores: int | str = "*", app: str = "pagemark") -> SparkSession
         builder.config("spark.sql.shuffle.partitions", shuffle)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # no call-site capture per column expression: plans are built faster
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
