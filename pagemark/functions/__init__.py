@@ -15,5 +15,7 @@ from pagemark.functions.text import (  # noqa: F401
     is_blank,
     percent,
     ratio,
+    real_number,
     shorten,
+    whole_number,
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagemark.functions.text import column
+from pagemark.functions.text import column, real_number
 
 # Four non-negative integers in parentheses, anywhere in the text.
 BOX_PATTERN = r"\((\s*\d+\s*,\s*\d+\s*,\s*\d+\s*,\s*\d+\s*)\)"
@@ -21,17 +21,18 @@ def box_coordinate(bboxes, index: int) -> Column:
     through common-subexpression elimination.
     """
     parts = F.split(F.regexp_extract(column(bboxes), BOX_PATTERN, 1), ",")
-    return F.get(parts, F.lit(index)).try_cast("int")
+    part = F.get(parts, F.lit(index))
+    return F.when(part != "", part.try_cast("int"))
 
 
 def box_coordinates(bboxes) -> list[Column]:
     return [box_coordinate(bboxes, i).alias(n) for i, n in enumerate(COORDINATES)]
 
 
-def ranking_probability(prob) -> Column:
-    """Probability used for ranking: text that is no number, and NaN, count as 0."""
-    value = column(prob).try_cast("double")
-    return F.when(value.isNull() | F.isnan(value), F.lit(0.0)).otherwise(value)
+def ranking_probability(prob, text: bool = True) -> Column:
+    """Probability used for ranking: text that is no number, NULL and NaN count as 0."""
+    value = real_number(prob) if text else column(prob).cast("double")
+    return F.nanvl(F.coalesce(value, F.lit(0.0)), F.lit(0.0))
 
 
 def confidence_band(prob) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagemark.functions.text import column, is_blank
+from pagemark.functions.text import column, is_blank, whole_number
 
 
 def decode(pred, vocabulary: list[str], missing: str, numeric: bool = False) -> Column:
@@ -21,14 +21,15 @@ def decode(pred, vocabulary: list[str], missing: str, numeric: bool = False) ->
     if numeric:
         value = pred.cast("double")
         pred = F.when(~F.isnan(value), value.cast("bigint"))
-    number = pred.try_cast("bigint")
+    text = pred.cast("string")
+    number = whole_number(text)
     unknown = (
-        F.when(pred.isNull(), F.lit(missing))
-        .when(number.isNull(), pred.cast("string"))
+        F.when(text.isNull(), F.lit(missing))
+        .when(number.isNull(), text)
         .otherwise(F.concat(F.lit("UNK_"), number.cast("string")))
     )
     # nearly every row ends at the lookup, which gives NULL for an index out of range
-    return F.coalesce(F.get(labels, pred.try_cast("int")), unknown)
+    return F.coalesce(F.get(labels, whole_number(text, "int")), unknown)
 
 
 def has_prefix(c: Column) -> Column:

@@ -21,6 +21,27 @@ def is_blank(c, nan_text: bool = True) -> Column:
     return text.isin("", "nan") if nan_text else text == ""
 
 
+# The number texts that count as numbers.
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+REAL_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
+def whole_number(c, kind: str = "bigint") -> Column:
+    """Text as an integer, NULL for other text.
+
+    A failed ``try_cast`` costs some 15 microseconds a row, as it goes through an exception, so text
+    is looked at before it is cast.
+    """
+    c = column(c)
+    return F.when(c.rlike(WHOLE_NUMBER), c.try_cast(kind))
+
+
+def real_number(c) -> Column:
+    """Text as a double, NULL for other text."""
+    c = column(c)
+    return F.when(c.rlike(REAL_NUMBER), c.try_cast("double"))
+
+
 def ratio(part, whole) -> Column:
     """part / whole as a double, NULL when there is nothing to divide by."""
     return F.try_divide(column(part).cast("double"), column(whole).cast("double"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemark.functions.boxes import ranking_probability
 
@@ -26,13 +27,17 @@ def _present(df: DataFrame, names: list[str]) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
+def _probability(df: DataFrame) -> Column:
+    return ranking_probability("prob", isinstance(df.schema["prob"].dataType, T.StringType))
+
+
 def collapse_top_k(df: DataFrame, order: list[str], keys: list[str] | None = None) -> DataFrame:
     """One row per word position: highest probability, then a prediction equal to the label, then
     the prediction first in the alphabet, then the row order. Without `prob` nothing is collapsed."""
     keys = _present(df, keys or PAGE_WORD_KEY)
     if "prob" not in df.columns or not keys:
         return df
-    ranking: list[Column] = [ranking_probability("prob").desc()]
+    ranking: list[Column] = [_probability(df).desc()]
     if "pred" in df.columns:
         if "labels" in df.columns:
             ranking.append(F.coalesce(F.col("pred") == F.col("labels"), F.lit(False)).desc())
@@ -49,7 +54,7 @@ def collapse_top_k_by_word(
     if "prob" not in df.columns or not keys:
         return df
     complete = df.dropna(subset=keys)
-    return keep_first(complete, keys, [ranking_probability("prob").desc(), *order])
+    return keep_first(complete, keys, [_probability(df).desc(), *order])
 
 
 def count_null_keys(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemark.functions.labels import decode, flat_label, strip_bio
-from pagemark.functions.text import is_blank
+from pagemark.functions.text import is_blank, whole_number
 from pagemark.operators.ordering import with_previous
 from pagemark.schemas import ANNOTATORS, annotator_column
 
@@ -41,7 +41,7 @@ def decode_by_table(
     lookup = vocab.select(
         F.col("idx").cast("bigint").alias("_idx"), F.col("label").alias("_label")
     ).dropDuplicates(["_idx"])
-    number = F.col(source).try_cast("bigint")
+    number = whole_number(F.col(source).cast("string"))
     text = (
         F.when(F.col(source).isNull(), F.lit(missing))
         .when(F.col("_n").isNull(), F.col(source).cast("string"))

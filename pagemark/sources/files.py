@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemark.functions.text import file_stem
+from pagemark.functions.text import file_stem, real_number
 from pagemark.operators.tracking import status_known
 from pagemark.schemas import (
     PREDICTION_REQUIRED,
@@ -69,7 +69,7 @@ def _single_layout(
     )
     if "prob" in columns:
         out = out.withColumn("prob_text", F.col("prob")).withColumn(
-            "prob", F.col("prob").try_cast("double")
+            "prob", real_number("prob")
         )
     return out
 
@@ -151,7 +151,7 @@ def scan_predictions(spark: SparkSession, directory: str) -> DataFrame:
     raw = _csv(spark, header).csv(path)
     return raw.select(
         "*", F.col("_metadata.file_name").alias("file"), file_position().alias("pos")
-    ).withColumn("prob", F.col("prob").try_cast("double"))
+    ).withColumn("prob", real_number("prob"))
 
 
 def scan_annotations(spark: SparkSession, path: str) -> DataFrame:

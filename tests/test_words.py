@@ -279,3 +279,15 @@ def test_row_functions_on_a_stream(spark, tmp_path):
     query.awaitTermination(120)
     got = {(r.pred, r.x1, r.flat, r.band) for r in spark.table("rows").collect()}
     assert got == {("B-ORG", 1, "ORG", "high"), ("UNK_9", None, "UNK_9", "low")}
+
+
+def test_numbers(spark):
+    texts = ["1", " +2 ", "-3", "1.5", "1e2", ".5", "5.", "inf", "NaN", "x", "", None, "1_0", "0x1", "--1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    whole = [r[0] for r in df.select(fn.whole_number("t")).collect()]
+    assert whole == [1, 2, -3] + [None] * 12
+    real = [r[0] for r in df.select(fn.real_number("t")).collect()]
+    assert real[:8] == [1.0, 2.0, -3.0, 1.5, 100.0, 0.5, 5.0, float("inf")]
+    assert real[8] != real[8] and real[9:] == [None] * 6
+    ranks = [r[0] for r in df.select(fn.ranking_probability("t")).collect()]
+    assert ranks[8:] == [0.0] * 7 and ranks[7] == float("inf")
