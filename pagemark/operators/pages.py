@@ -89,7 +89,7 @@ def confidence_counts(tokens: DataFrame, by: list[str] = ()) -> DataFrame:
 
 def page_reconciliation(
     pages: DataFrame,
-    token_pages: DataFrame,
+    token_pages: DataFrame | None = None,
     cases: DataFrame | None = None,
     token_cases: DataFrame | None = None,
     images: DataFrame | None = None,

@@ -34,17 +34,18 @@ def prepare(
 
     Without ``images`` or ``cases`` those checks pass.
     """
+    listed = page_list.select("case_id", "page_id").distinct()
+    token_pages = tokens.select("case_id", "page_id").distinct()
     reconciled = pages.page_reconciliation(
-        page_list.select("case_id", "page_id").distinct(),
-        tokens,
-        cases=cases,
-        token_cases=tokens,
-        images=images,
+        listed, token_pages, cases=cases, token_cases=token_pages, images=images
     )
-    ready = reconciled.filter(F.col("status") == "ok").select("case_id", "page_id")
+    ok = F.col("status") == "ok"
+    ready = reconciled.filter(ok).select("case_id", "page_id")
+    # pages without tokens add no rows to the table, so its list needs no look at the tokens
+    wanted = pages.page_reconciliation(listed, cases=cases, images=images).filter(ok)
     assignments = tracking.tracking_rows(ready, share, annotators)
     out = {
-        "annotations": pages.annotation_table(tokens, ready),
+        "annotations": pages.annotation_table(tokens, wanted),
         "assignments": assignments,
         "reconciliation": reconciled,
         "index": tracking.case_index(assignments, annotators),
