@@ -67,13 +67,18 @@ def with_previous(
     )
     joined = _with_summary(cut, carry.select(*keys, "_block", "_carry"), keys)
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
-    first = F.row_number().over(inside) == 1
     # one select, so that all window functions share one window operator
-    return joined.select(
+    near = joined.select(
+        *df.columns,
+        "_carry",
+        (F.row_number().over(inside) == 1).alias("_first"),
+        *[F.lag(s).over(inside).alias(f"_lag_{s}") for s in sources],
+    )
+    return near.select(
         *df.columns,
         *[
-            F.when(first, F.col(f"_carry.{source}")).otherwise(F.lag(source).over(inside)).alias(new)
-            for new, source in values.items()
+            F.when(F.col("_first"), F.col(f"_carry.{s}")).otherwise(F.col(f"_lag_{s}")).alias(new)
+            for new, s in values.items()
         ],
     )
 
