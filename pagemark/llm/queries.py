@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import bpe, chat, mixing
+from pagemark.llm import bpe, chat, language, mixing, toxicity, wordpiece
 from pagemark.llm.common import table
 
 
@@ -90,6 +90,33 @@ from checked group by conv_id
 """
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.held_out(F.col("doc_id"), 4, 2)
+    model = language.train(docs.where(~held_out))
+    return language.identify(
+        docs.select("doc_id", "text", held_out.alias("held_out")), model, keep_text=False
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = language.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        "predicted",
+        F.size("passages").alias("n_passages"),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents")))
 
@@ -97,6 +124,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op4_chat_format": op4_chat_format,
+    "op5_language_id": op5_language_id,
+    "op8_toxicity": op8_toxicity,
+    "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE = {"op2_mixing": OP2, "op4_chat_format": OP4}
