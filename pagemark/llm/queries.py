@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import bpe, chat, language, mixing, toxicity, wordpiece
+from pagemark.llm import bpe, chat, language, mixing, nearest, topk, toxicity, wordpiece
 from pagemark.llm.common import table
 
 
@@ -99,6 +99,29 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP7 = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+    list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+  from whole q join whole c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -125,8 +148,10 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_language_id": op5_language_id,
+    "op6_nearest": op6_nearest,
+    "op7_exact_topk": op7_exact_topk,
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE = {"op2_mixing": OP2, "op4_chat_format": OP4}
+ORACLE = {"op2_mixing": OP2, "op4_chat_format": OP4, "op7_exact_topk": OP7}
