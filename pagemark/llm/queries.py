@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import bpe, chat, language, mixing, nearest, topk, toxicity, wordpiece
+from pagemark.llm import bpe, chat, jaccard, language, mixing, nearest, topk, toxicity, wordpiece
 from pagemark.llm.common import table
 
 
@@ -34,6 +34,36 @@ from copied c join documents d using (doc_id)
 """
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+OP3 = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then []
+    else list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+      lambda i: array_to_string(w[i:i + 3], ' '))) end as s
+  from words),
+held as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b
+  from held a join held b using (shingle)
+  group by a.doc_id, b.doc_id, a.n, b.n
+  having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(doc_id, other) as (
+  select a, b from links
+  union
+  select r.doc_id, l.b from reach r join links l on r.other = l.a)
+select s.doc_id, len(s.s)::bigint as n_shingles, coalesce(min(r.other), s.doc_id) as component_id
+from sets s left join reach r using (doc_id) group by s.doc_id, len(s.s)
+"""
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     # a conversation whose texts hold the template's own control strings
@@ -146,6 +176,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_chat_format": op4_chat_format,
     "op5_language_id": op5_language_id,
     "op6_nearest": op6_nearest,
@@ -154,4 +185,4 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE = {"op2_mixing": OP2, "op4_chat_format": OP4, "op7_exact_topk": OP7}
+ORACLE = {"op2_mixing": OP2, "op3_ngram_jaccard": OP3, "op4_chat_format": OP4, "op7_exact_topk": OP7}
