@@ -1,12 +1,54 @@
-"""Corpus pipeline: language, lines, near duplicates, mixture, token ids."""
+"""Corpus pipeline: language, lines, near duplicates, mixture, token ids.
+
+Each stage works on all rows the one before has kept, and all but the last return the columns of
+`documents`.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from pagemark.llm import bpe, mixing
+from pagemark.llm import bpe, jaccard, language, lines, mixing
 from pagemark.llm.common import stored, table
 
+#: A document stays if this share of its words is labelled with one language.
+LEAST_SHARE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is found: `und` and evenly mixed ones go.
+
+    The field learns from the labelled rows whose fold is not held out. Without any, nothing can be told
+    and nothing goes.
+    """
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"), 4, 2)))
+    if model is None:
+        return docs
+    named = language.identify(docs, model)
+    found = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)
+    return named.where(found).select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take repeated lines out; a document all of whose lines go, goes."""
+    cleaned = lines.dedup_lines(docs).where("n_kept > 0")
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest doc_id.
+
+    Word shingles of five words at a similarity of 0.8. Repeated rows of one doc_id are one document: the
+    smallest text stays. Rows without doc_id stay, as nothing tells them apart.
+    """
+    groups = stored(jaccard.near_duplicates(docs, width=5, percent=80), "groups")
+    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
+    order = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
+    known = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
+    known = known.withColumn("_row", F.row_number().over(order)).where("_row = 1").select(docs.columns)
+    return known.unionByName(docs.where("doc_id is null"))
+
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select(docs.columns)
@@ -16,12 +58,19 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(docs))
 
 
-STAGES = [("mixing", mix), ("byte_bpe", encode)]
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard", near_duplicates),
+    ("mixing", mix),
+    ("byte_bpe", encode),
+]
+#: SQL can neither train the labeller nor merge byte pairs; the tests use plain Python beside each stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each is written to the shared folder and read by the next."""
+    """All stages over `documents`; each result is written to the shared folder and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -5,10 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import bpe, chat, jaccard, language, mixing, nearest, topk, toxicity, wordpiece
+from pagemark.llm import bpe, chat, jaccard, language, lines, mixing, nearest, topk, toxicity, wordpiece
 from pagemark.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
+
+
+OP1 = """
+with parts as (select doc_id, string_split(text, chr(10)) as p from documents),
+raw as (select doc_id, unnest(range(0, len(p))) as line_no, unnest(p) as part from parts),
+found as (
+  select doc_id, line_no, part,
+    trim(part, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as line from raw),
+firsts as (
+  select line, length(line) as size, length(line) // 2 as half, min((doc_id, line_no)) as place
+  from found where line <> '' group by line),
+met as (
+  select a.line as x, b.line as y, a.place as px, b.place as py, a.size as sx, b.size as sy
+  from firsts a join firsts b
+  on b.size >= 30 and a.size between b.size and b.size + 1 and a.line <> b.line
+  and (left(a.line, b.half) = left(b.line, b.half) or right(a.line, b.size - b.half) = right(b.line, b.size - b.half))),
+split as (
+  select *, len(list_filter(range(1, sy::bigint + 1), lambda i: left(x, i) = left(y, i))) as same from met),
+near as (
+  select x, y, px, py from split
+  where substr(x, same::bigint + 2) = substr(y, same::bigint + 1 + (case when sx = sy then 1 else 0 end))),
+gone as (
+  select case when px > py then x else y end as line from near),
+kept as (
+  select doc_id, f.line_no, part, f.line,
+    f.line = '' or ((f.doc_id, f.line_no) = d.place and f.line not in (select line from gone)) as stays
+  from found f left join firsts d using (line))
+select doc_id,
+  count(*) filter (where line <> '') as n_lines,
+  count(*) filter (where line <> '' and stays) as n_kept,
+  sha256(coalesce(string_agg(part, chr(10) order by line_no) filter (where stays), '')) as text_sha256
+from kept group by doc_id
+"""
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -175,6 +213,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_chat_format": op4_chat_format,
@@ -185,4 +224,4 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE = {"op2_mixing": OP2, "op3_ngram_jaccard": OP3, "op4_chat_format": OP4, "op7_exact_topk": OP7}
+ORACLE = {"op1_line_dedup": OP1, "op2_mixing": OP2, "op3_ngram_jaccard": OP3, "op4_chat_format": OP4, "op7_exact_topk": OP7}
