@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagemark.functions.text import column, is_blank, whole_number
+from pagemark.functions.text import column, is_blank, stripped, whole_number
 
 
 def decode(pred, vocabulary: list[str], missing: str, numeric: bool = False) -> Column:
@@ -39,13 +39,13 @@ def has_prefix(c: Column) -> Column:
 def strip_bio(label) -> Column:
     """Entity type of a BIO tag; flat labels pass, a missing one is ``O``."""
     named = F.regexp_replace(F.coalesce(column(label), F.lit("nan")), "^nan$", "O")
-    return F.regexp_replace(F.trim(named), "^[BI]-", "")
+    return F.regexp_replace(stripped(named), "^[BI]-", "")
 
 
 def flat_label(label) -> Column:
     """A label ready for BIO conversion: trimmed, every kind of blank is ``O``."""
     c = column(label)
-    return F.when(is_blank(c), F.lit("O")).otherwise(F.trim(c))
+    return F.when(is_blank(c), F.lit("O")).otherwise(stripped(c))
 
 
 def bio_type(tag) -> Column:

@@ -42,6 +42,19 @@ def real_number(c) -> Column:
     return F.when(c.rlike(REAL_NUMBER), c.try_cast("double"))
 
 
+# The white space taken off both ends of a label.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def stripped(c) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.trim(column(c), F.lit(WHITE_SPACE))
+
+
 def ratio(part, whole) -> Column:
     """part / whole as a double, NULL when there is nothing to divide by."""
     return F.try_divide(column(part).cast("double"), column(whole).cast("double"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemark.functions.text import is_blank, percent
 from pagemark.operators.confusion import with_overall
-from pagemark.operators.dedup import collapse_top_k_by_word, drop_duplicates_first
+from pagemark.operators.dedup import POSITION_COLUMNS, collapse_top_k_by_word, drop_duplicates_first
 from pagemark.operators.labels import fill_predictions, standardise_annotator
 from pagemark.schemas import ANNOTATORS, annotator_column
 
@@ -38,8 +38,11 @@ def completion_audit(
 def duplicate_rows(
     df: DataFrame, scope: str, columns: list[str] | None = None, overall: str = "all"
 ) -> DataFrame:
-    """Rows that repeat an earlier one of their document in all ``columns``."""
-    columns = [c for c in (columns or df.columns) if c != scope]
+    """Rows that repeat an earlier one of their document in all ``columns``, by default all but those
+    for the row order."""
+    if columns is None:
+        columns = [c for c in df.columns if c not in POSITION_COLUMNS]
+    columns = [c for c in columns if c != scope]
     repeated = df.groupBy(scope, *columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
     per_document = repeated.groupBy(scope).agg(F.sum("_extra").alias("duplicates"))
     return with_overall(per_document, scope, [], ["duplicates"], overall).select(

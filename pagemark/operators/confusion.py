@@ -172,8 +172,17 @@ def accuracy(counts: DataFrame, scope: list[str] = ()) -> DataFrame:
 
 
 def confusion_wide(counts: DataFrame, labels: list[str]) -> DataFrame:
-    """One row per true class, one column per predicted class of ``labels``, 0 for no row."""
-    return counts.groupBy("truth").pivot("pred", labels).agg(F.sum("n")).na.fill(0)
+    """One row per true class, one column per predicted class of ``labels``, 0 for no row.
+
+    ``other`` holds predictions of any other class, so a row sums up to all rows of its class.
+    """
+    listed = F.coalesce(F.col("pred").isin(list(labels)), F.lit(False))
+    columns = {label: F.col("pred").eqNullSafe(F.lit(label)) for label in labels}
+    columns["other"] = ~listed
+    zero = F.lit(0).cast("bigint")
+    return counts.groupBy("truth").agg(
+        *[F.coalesce(F.sum(F.when(test, F.col("n"))), zero).alias(c) for c, test in columns.items()]
+    )
 
 
 def page_metrics(counts: DataFrame, scope: str) -> DataFrame:
@@ -206,9 +215,10 @@ def low_score_pages(pages: DataFrame, below: float = 0.5) -> DataFrame:
     return pages.filter(F.col("accuracy") < below)
 
 
-def worst_classes(report: DataFrame, k: int = 10) -> DataFrame:
-    """The k classes with the lowest F1, ties by label."""
-    return report.orderBy("f1", "label").limit(k)
+def worst_classes(report: DataFrame, k: int | None = 10) -> DataFrame:
+    """The k classes with the lowest F1, ties by label; None for all."""
+    ranked = report.orderBy("f1", "label")
+    return ranked if k is None else ranked.limit(k)
 
 
 def error_pairs(counts: DataFrame, k: int | None = 20) -> DataFrame:
@@ -222,15 +232,15 @@ def error_pairs(counts: DataFrame, k: int | None = 20) -> DataFrame:
     return ranked if k is None else ranked.limit(k)
 
 
-def confused_labels(counts: DataFrame, k: int = 10) -> DataFrame:
-    """True labels with the most errors; ties by label."""
-    return (
+def confused_labels(counts: DataFrame, k: int | None = 10) -> DataFrame:
+    """True labels with the most errors; ties by label; None for all."""
+    ranked = (
         counts.filter(F.col("truth") != F.col("pred"))
         .groupBy("truth")
         .agg(F.sum("n").alias("errors"))
         .orderBy(F.col("errors").desc(), "truth")
-        .limit(k)
     )
+    return ranked if k is None else ranked.limit(k)
 
 
 def error_rate(df: DataFrame, truth, pred, weight: str | None = None) -> DataFrame:

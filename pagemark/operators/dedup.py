@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from pagemark.functions.boxes import ranking_probability
 
 PAGE_WORD_KEY = ["case_id", "page_id", "block_ids", "word_ids", "bboxes"]
+# Row order a scan or the reading order has added; no two rows agree on them.
+POSITION_COLUMNS = ("pos", "reading_pos", "ord")
 WORD_TEXT_KEY = ["case_id", "page_id", "block_ids", "word_ids", "words", "bboxes"]
 
 
@@ -67,13 +69,8 @@ def count_null_keys(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def duplicate_key_columns(df: DataFrame, order: list[str] = ()) -> list[str]:
     """All columns but the annotators' and the row-order ones."""
-    return [
-        c
-        for c in df.columns
-        if not c.endswith("_label")
-        and c not in ("annotator1_labels", "annotator2_labels")
-        and c not in order
-    ]
+    left_out = {"annotator1_labels", "annotator2_labels", *POSITION_COLUMNS, *order}
+    return [c for c in df.columns if not c.endswith("_label") and c not in left_out]
 
 
 def drop_duplicates_first(

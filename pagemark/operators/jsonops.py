@@ -40,17 +40,14 @@ def text_lines(
     Items without `text` are skipped, those with a null text stay. Lines of an object come in the
     order its keys have in the document.
     """
-    value = F.col("_items")
-    as_list = F.try_variant_get(value, "$", "array<variant>")
-    as_object = F.try_variant_get(value, "$", "map<string,variant>")
-    names = F.json_object_keys(F.get_json_object(json, f"$.{field}"))
-    # the object's entries in document order: look each name up once instead of sorting afterwards
-    listed = F.transform(names, lambda name: F.element_at(as_object, name))
-    items = F.when(as_list.isNotNull(), as_list).otherwise(listed)
+    as_list = F.try_variant_get(json_path(parsed(json), field, "variant"), "$", "array<variant>")
+    # an object is read as a map from its text, as that keeps the entries in document order
+    as_object = F.from_json(F.get_json_object(json, f"$.{field}"), "map<string,variant>")
+    items = F.coalesce(as_list, F.map_values(as_object))
     exploded = (
-        df.withColumn("_items", json_path(parsed(json), field, "variant"))
+        df.withColumn("_items", items)
         .filter(F.col("_items").isNotNull())
-        .select(*keys, F.posexplode(items).alias("line_no", "_item"))
+        .select(*keys, F.posexplode("_items").alias("line_no", "_item"))
     )
     text = F.try_variant_get(F.col("_item"), "$.text", "variant")
     return exploded.filter(text.isNotNull()).select(
@@ -58,14 +55,35 @@ def text_lines(
     )
 
 
-def structure_profile(df: DataFrame, json: str = "json", max_depth: int = 3) -> DataFrame:
-    """(path, kind, values, min_size, max_size, sample) of all documents down to a depth.
+def nesting_depth(df: DataFrame, json: str = "json") -> int:
+    """How deep the deepest document nests its objects and lists: one number, one pass."""
+    # brackets inside strings go with their strings
+    tokens = F.regexp_extract_all(F.col(json), F.lit(r'"(?:[^"\\\\]|\\\\.)*"|[\[\]{}]'), F.lit(0))
 
-    Size counts the entries of an object or list. List items share the path ``name[]``; containers
-    at the depth limit are listed without looking inside. Documents that do not parse have no rows.
-    Every document is read and parsed once and leaves as its nodes.
+    def step(acc: Column, token: Column) -> Column:
+        move = F.when(token.isin("[", "{"), 1).when(token.isin("]", "}"), -1).otherwise(0)
+        now = acc["now"] + move
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    deepest = F.aggregate(tokens, start, step, lambda acc: acc["most"])
+    return df.agg(F.max(deepest)).first()[0] or 0
+
+
+def structure_profile(df: DataFrame, json: str = "json", max_depth: int | None = None) -> DataFrame:
+    """(path, kind, values, min_size, max_size, sample) of all documents.
+
+    Size counts the entries of an object or list. List items share the path ``name[]``. Without
+    ``max_depth`` the depth is that of the deepest document. With it, containers at that depth are listed
+    without looking inside, and the column ``unopened`` counts those that hold anything. Documents that
+    do not parse have no rows. Every document is parsed once and leaves as its nodes.
     """
-    root = F.array(F.struct(F.lit("$").alias("path"), F.col("_v").alias("v")))
+    limited = max_depth is not None
+    if not limited:
+        max_depth = nesting_depth(df, json)
+    root = F.array(
+        F.struct(F.lit("$").alias("path"), F.col("_v").alias("v"), F.lit(0).alias("depth"))
+    )
     level, levels = root, [root]
     for _ in range(max_depth):
         level = F.flatten(F.transform(level, _children))
@@ -74,7 +92,7 @@ def structure_profile(df: DataFrame, json: str = "json", max_depth: int = 3) ->
         df.select(parsed(json).alias("_v"))
         .filter(F.col("_v").isNotNull())
         .select(F.explode(F.concat(*levels)).alias("_node"))
-        .select("_node.path", F.col("_node.v").alias("v"))
+        .select("_node.path", F.col("_node.v").alias("v"), "_node.depth")
     )
     kind = F.regexp_extract(F.schema_of_variant("v"), r"^(\w+)", 1)
     size = F.when(F.col("kind") == "ARRAY", F.size(_as_list(F.col("v")))).when(
@@ -84,13 +102,20 @@ def structure_profile(df: DataFrame, json: str = "json", max_depth: int = 3) ->
     leaf = ~F.col("kind").isin("ARRAY", "OBJECT")
     return (
         nodes.withColumn("kind", kind)
-        .select("path", "kind", size.cast("bigint").alias("size"), F.when(leaf, value).alias("text"))
+        .select(
+            "path",
+            "kind",
+            size.cast("bigint").alias("size"),
+            F.when(leaf, value).alias("text"),
+            (F.col("depth") == max_depth).alias("last"),
+        )
         .groupBy("path", "kind")
         .agg(
             F.count(F.lit(1)).alias("values"),
             F.min("size").alias("min_size"),
             F.max("size").alias("max_size"),
-            F.min(shorten("text")).alias("sample"),
+            shorten(F.min("text")).alias("sample"),
+            *([F.count_if(F.col("last") & (F.col("size") > 0)).alias("unopened")] if limited else []),
         )
     )
 
@@ -107,7 +132,8 @@ def _children(node: Column) -> Column:
     """The entries of an object or list node with their paths; nothing for a value."""
 
     def entry(suffix: Column, v: Column) -> Column:
-        return F.struct(F.concat(node["path"], suffix).alias("path"), v.alias("v"))
+        path = F.concat(node["path"], suffix)
+        return F.struct(path.alias("path"), v.alias("v"), (node["depth"] + 1).alias("depth"))
 
     items = F.transform(_as_list(node["v"]), lambda e: entry(F.lit("[]"), e))
     members = F.transform(

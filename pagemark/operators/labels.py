@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemark.functions.labels import decode, flat_label, strip_bio
 from pagemark.functions.text import is_blank, whole_number
-from pagemark.operators.ordering import with_previous
+from pagemark.operators.ordering import indexed, with_previous
 from pagemark.schemas import ANNOTATORS, annotator_column
 
 
 def vocabulary(labels: DataFrame, label: str = "label") -> DataFrame:
-    """Distinct non-blank labels in code-point order with their index from 0.
-
-    The one-partition window runs over the distinct labels of a model, never over rows.
-    """
+    """Distinct non-blank labels in code-point order with their index from 0."""
     distinct = labels.select(F.col(label).alias("label")).filter(~is_blank("label", False)).distinct()
-    return distinct.select(
-        (F.row_number().over(Window.orderBy("label")) - 1).alias("idx"), "label"
-    )
+    return indexed(distinct, "label", "idx").select(F.col("idx").cast("int").alias("idx"), "label")
 
 
 def decode_column(
@@ -39,8 +34,8 @@ def decode_by_table(
     The table has one row per model class; adaptive execution broadcasts it by its measured size.
     """
     lookup = vocab.select(
-        F.col("idx").cast("bigint").alias("_idx"), F.col("label").alias("_label")
-    ).dropDuplicates(["_idx"])
+        F.col("idx").cast("bigint").alias("_idx"), "label"
+    ).groupBy("_idx").agg(F.min("label").alias("_label"))
     number = whole_number(F.col(source).cast("string"))
     text = (
         F.when(F.col(source).isNull(), F.lit(missing))

@@ -10,19 +10,15 @@ the join and the windows share one exchange.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemark.functions.labels import bio_type
-from pagemark.session import ensure_checkpoint_dir
 
 # Rows of one document that share a block: 2^16 positions.
 BLOCK_BITS = 16
-# Pages with more rows than this are ranked step by step instead of in one window.
-HOT_GROUP_ROWS = 2_000_000
 
 
 def block(pos: str, bits: int = BLOCK_BITS) -> Column:
@@ -178,82 +174,69 @@ def ranked(
     leading: list[str],
     pos: str,
     out: str,
-    hot_rows: int = HOT_GROUP_ROWS,
     bits: int = BLOCK_BITS,
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Number the rows of a group by integer columns ``leading`` (NULL last), then by ``pos``.
 
-    Groups up to ``hot_rows`` rows take one window. Larger ones are ranked by counting smaller rows
-    column by column, which never brings a group together. The list of large groups has at most
-    rows / hot_rows entries, so it is broadcast; when it is empty, adaptive execution drops the
-    second branch.
-
-    ``prepare`` is what happens to the rows of a group before they are numbered, such as collapsing
-    them; it must work group by group and add no rows. As the groups are told apart before it, its
-    shuffles run once, and not at all for an empty branch.
+    A group is numbered in strips: the rows that agree on the first leading column. Rows without any
+    leading value are cut into blocks of positions instead. Strips are counted, the counts before a
+    strip are its offset, and a window numbers the rows inside it. One exchange by (group, strip)
+    serves the counts, the join and the window, and no task sees a whole group.
     """
-    prepare = prepare or (lambda part: part)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(*keys))
-    order = [F.col(c).asc_nulls_last() for c in leading] + [F.col(pos).asc()]
-    usual = prepare(_attach(df, hot, keys, "left_anti")).withColumn(
-        out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    last = (1 << 62) - 1
+    placed = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in leading])
+    strip = {
+        # equality of structs takes NULL keys as equal
+        "_group": F.struct(*keys),
+        "_strip": F.coalesce(F.col(leading[0]).cast("bigint"), F.lit(last)),
+        "_block": F.when(placed, F.lit(-last)).otherwise(block(pos, bits)),
+    }
+    parts = list(strip)
+    cut = df.withColumns(strip).repartition(*parts)
+    earlier = (
+        Window.partitionBy("_group")
+        .orderBy("_strip", "_block")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    large = prepare(_attach(df, hot, keys, "left_semi"))
-    return usual.unionByName(_ranked_by_counting(large, keys, leading, pos, out, bits))
+    counts = cut.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*parts, F.sum("_n").over(earlier).alias("_offset"))
+    order = [F.col(c).asc_nulls_last() for c in leading[1:]] + [F.col(pos).asc()]
+    inside = Window.partitionBy(*parts).orderBy(*order)
+    number = F.row_number().over(inside).cast("bigint") + F.coalesce("_offset", F.lit(0))
+    return cut.join(offsets, parts, "left").select(*df.columns, number.alias(out))
 
 
-def _ranked_by_counting(df, keys, leading, pos, out, bits):
-    last = (1 << 62) - 1
-    steps = [f"_s{i}" for i in range(len(leading) + 1)]
-    values = [F.coalesce(F.col(c).cast("bigint"), F.lit(last)) for c in leading] + [block(pos, bits)]
-    df = df.withColumns(dict(zip(steps, values)))
-    cells = df.groupBy(*keys, *steps).agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy(*keys, *steps).orderBy(pos)
-    result = df.withColumn(out, F.row_number().over(inside).cast("bigint"))
-    smaller = []
-    for depth, step in enumerate(steps):
-        # rows of the group that agree on the columns before this one and are smaller in it
-        prefix, offset = [*keys, *steps[:depth]], f"_offset{depth}"
-        earlier = (
-            Window.partitionBy(*prefix).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        counts = cells.groupBy(*prefix, step).agg(F.sum("_n").alias("_n"))
-        offsets = counts.select(*prefix, step, F.sum("_n").over(earlier).alias(offset)).filter(
-            F.col(offset).isNotNull()
-        )
-        result = _attach(result, offsets, [*prefix, step])
-        smaller.append(F.coalesce(offset, F.lit(0)))
-    return result.withColumn(out, sum(smaller, F.col(out))).drop(
-        *steps, *[f"_offset{d}" for d in range(len(steps))]
-    )
+def range_borders(df: DataFrame, column: str, parts: int, per_part: int = 32) -> list:
+    """At most ``parts`` - 1 values that cut a column into ranges of like size.
+
+    They come from a sample of ``parts * per_part`` values, those with the smallest hashes, so they are the
+    same whenever the data are, and their number does not grow with the rows.
+    """
+    values = df.select(F.col(column).alias("v")).where("v is not null")
+    sample = values.orderBy(F.xxhash64("v"), "v").limit(parts * per_part).collect()
+    found = sorted({r.v for r in sample})
+    step = max(1, len(found) // parts)
+    return found[step::step][: parts - 1]
 
 
-def indexed(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """Consecutive numbers 0, 1, … over a whole table sorted by ``order``, without one big task.
+def indexed(
+    df: DataFrame, order: str, out: str, sample_from: DataFrame | None = None
+) -> DataFrame:
+    """Consecutive numbers 0, 1, … over a whole table sorted by the unique column ``order``.
 
-    The table is range-partitioned and sorted, then kept in a reliable checkpoint, because the row
-    numbers must not move when a lost task is run again. One row per partition holds the offsets.
+    The table is cut into ranges at fixed borders. Rows are numbered inside their range, and the
+    counts of the ranges before are added: one row per range, of which there are as many as shuffle
+    partitions at most. ``sample_from`` is a cheaper frame with the same values to find borders in.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_id", 33))
-    )
-    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # at most one row per shuffle partition: a bounded single-task window and broadcast
-    offsets = counts.withColumn(
-        "_offset",
-        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-    ).select("_part", "_offset")
-    within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        ordered.join(F.broadcast(offsets), "_part", "left")
-        .withColumn(out, within + F.coalesce("_offset", F.lit(0)))
-        .drop("_id", "_part", "_offset")
-    )
+    borders = range_borders(df if sample_from is None else sample_from, order, parts)
+    part = F.lit(0)
+    if borders:
+        part = F.size(F.filter(F.array(*[F.lit(v) for v in borders]), lambda v: v <= F.col(order)))
+    cut = df.withColumn("_range", F.coalesce(part, F.lit(0))).repartition("_range")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.sum("_n").over(earlier).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(order)
+    number = F.row_number().over(inside) - 1 + F.coalesce("_offset", F.lit(0))
+    return cut.join(F.broadcast(offsets), "_range", "left").select(*df.columns, number.alias(out))

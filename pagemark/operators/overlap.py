@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CELL = 128
-LAST_CELL = 7
 _BOX = ["x1", "y1", "x2", "y2"]
 
 
 def _cell(c):
-    # coordinates beyond the 1..1000 grid share the last cell, which keeps the mapping monotone
-    return F.least(F.greatest(F.floor(c / CELL), F.lit(0)), F.lit(LAST_CELL)).cast("int")
+    return F.floor(c / CELL).cast("int")
 
 
 def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,31 +30,30 @@ def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
         "cx", F.explode(F.sequence(_cell(F.col("x1")), _cell(F.col("x2"))))
     ).withColumn("cy", F.explode(F.sequence(_cell(F.col("y1")), _cell(F.col("y2")))))
     place = [*keys, "cx", "cy"]
+    # dealt once: both sides of the join read the same exchange
+    cells = cells.repartition(*place)
     left = cells.select(*place, *[F.col(c).alias(f"a_{c}") for c in [*_BOX, "n"]])
     right = cells.select(*place, *[F.col(c).alias(f"b_{c}") for c in [*_BOX, "n"]])
     x1 = F.greatest("a_x1", "b_x1")
     y1 = F.greatest("a_y1", "b_y1")
-    ordered = F.struct("a_y1", "a_x1", "a_y2", "a_x2") < F.struct("b_y1", "b_x1", "b_y2", "b_x2")
+    a, b = (F.struct(*[f"{side}_{c}" for c in ("y1", "x1", "y2", "x2")]) for side in "ab")
     meets = (
         (F.col("a_x1") < F.col("b_x2"))
         & (F.col("b_x1") < F.col("a_x2"))
         & (F.col("a_y1") < F.col("b_y2"))
         & (F.col("b_y1") < F.col("a_y2"))
     )
+    # a box that several words have meets itself
+    taken = (a < b) | ((a == b) & (F.col("a_n") > 1))
     pairs = left.join(right, place).filter(
-        ordered & meets & (F.col("cx") == _cell(x1)) & (F.col("cy") == _cell(y1))
+        taken & meets & (F.col("cx") == _cell(x1)) & (F.col("cy") == _cell(y1))
     )
-    different = pairs.select(
+    n = F.col("a_n")
+    found = pairs.select(
         *keys,
         *[f"a_{c}" for c in _BOX],
         *[f"b_{c}" for c in _BOX],
-        (F.col("a_n") * F.col("b_n")).alias("word_pairs"),
-    )
-    same = boxes.filter(F.col("n") > 1).select(
-        *keys,
-        *[F.col(c).alias(f"a_{c}") for c in _BOX],
-        *[F.col(c).alias(f"b_{c}") for c in _BOX],
-        (F.shiftright(F.col("n") * (F.col("n") - 1), 1)).alias("word_pairs"),
+        F.when(a < b, n * F.col("b_n")).otherwise(F.shiftright(n * (n - 1), 1)).alias("word_pairs"),
     )
 
     def long(name: str):
@@ -69,8 +66,7 @@ def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
         F.least(long("a_y2"), long("b_y2")) - F.greatest(long("a_y1"), long("b_y1"))
     )
     return (
-        different.unionByName(same)
-        .withColumn("overlap_area", shared)
+        found.withColumn("overlap_area", shared)
         .withColumn(
             "overlap_share",
             F.try_divide(
@@ -78,3 +74,13 @@ def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
             ),
         )
     )
+
+
+def overlap_summary(overlaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Per page: overlapping pairs of boxes, pairs of words in them, overlap area, largest share."""
+    return overlaps.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("box_pairs"),
+        F.sum("word_pairs").alias("word_pairs"),
+        F.sum(F.col("word_pairs") * F.col("overlap_area")).alias("overlap_area"),
+        F.max("overlap_share").alias("largest_share"),
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemark.functions.boxes import COORDINATES, box_coordinates, confidence_band
 from pagemark.operators.dedup import collapse_top_k
-from pagemark.operators.ordering import HOT_GROUP_ROWS, ranked
+from pagemark.operators.ordering import ranked
 from pagemark.schemas import ANNOTATORS, annotator_column
 
 PAGE_KEY = ["case_id", "page_id"]
@@ -40,14 +40,9 @@ def reading_order(
     pos: str = "pos",
     keys: list[str] = PAGE_KEY,
     out: str = "reading_pos",
-    hot_rows: int = HOT_GROUP_ROWS,
-    prepare=None,
 ) -> DataFrame:
-    """Number the words of a page top to bottom, then left to right; words without a box last.
-
-    ``prepare`` turns the given rows into the words to number, see `ordering.ranked`.
-    """
-    return ranked(tokens, keys, ["y1", "x1"], pos, out, hot_rows, prepare=prepare)
+    """Number the words of a page top to bottom, then left to right; words without a box last."""
+    return ranked(tokens, keys, ["y1", "x1"], pos, out)
 
 
 def annotation_table(
@@ -57,18 +52,12 @@ def annotation_table(
     word_key: list[str] | None = None,
     keys: list[str] = PAGE_KEY,
     tie_order: list[str] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Tokens of the listed pages, collapsed, with coordinates, reading position, and two empty
     annotator columns at the end. ``tie_order`` settles ties of the collapse, ``pos`` by default."""
     chosen = tokens if pages is None else page_tokens(tokens, pages, keys)
-
-    def collapsed(part: DataFrame) -> DataFrame:
-        return with_coordinates(collapse_top_k(part, tie_order or [pos], word_key))
-
-    return with_annotator_columns(
-        reading_order(chosen, pos, keys, hot_rows=hot_rows, prepare=collapsed)
-    )
+    collapsed = with_coordinates(collapse_top_k(chosen, tie_order or [pos], word_key))
+    return with_annotator_columns(reading_order(collapsed, pos, keys))
 
 
 def with_annotator_columns(df: DataFrame) -> DataFrame:
@@ -151,7 +140,9 @@ def image_manifest(pages: DataFrame, images: DataFrame) -> DataFrame:
 
     `images` is `scan_images`' output: case_id, page_id, path, length.
     """
-    known = images.select(*PAGE_KEY, "path", "length").dropDuplicates(PAGE_KEY)
+    # of several images of a page, the first by path
+    first = F.min(F.struct("path", "length")).alias("_image")
+    known = images.groupBy(*PAGE_KEY).agg(first).select(*PAGE_KEY, "_image.*")
     destination = F.concat(document_name(), F.lit(".jpeg"))
     return pages.select(*PAGE_KEY).join(known, PAGE_KEY, "left").select(
         *PAGE_KEY,

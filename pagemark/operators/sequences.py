@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemark.functions.labels import bio_type
 from pagemark.functions.text import is_blank, ratio
+from pagemark.operators.confusion import with_overall
 from pagemark.operators.ordering import (
     BLOCK_BITS,
     with_previous,
@@ -171,3 +172,10 @@ def label_transitions(
     return paired.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("transitions"), F.count_if(same).alias("equal")
     )
+
+
+def reading_order_similarity(transitions: DataFrame, scope: str, overall: str = "all") -> DataFrame:
+    """Share of label changes the prediction has too, per document and overall (`level`)."""
+    counts = with_overall(transitions, scope, [], ["transitions", "equal"], overall)
+    share = F.coalesce(ratio("equal", "transitions"), F.lit(0.0))
+    return counts.select("level", scope, "transitions", "equal", share.alias("similarity"))

@@ -1,7 +1,7 @@
 """Prepare, evaluate, track, clean and fill: the jobs users start.
 
 Each returns named DataFrames. Nothing runs before a frame is written or shown, except that a
-consecutive page number needs its files sorted first.
+consecutive page number needs a sample of names first. Ranked frames hold all rows; reports cut them.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ def prepare(
     images: DataFrame | None = None,
     cases: DataFrame | None = None,
     annotators=None,
+    image_template: str = tracking.IMAGE_TEMPLATE,
+    label_template: str = tracking.LABEL_TEMPLATE,
 ) -> dict[str, DataFrame]:
     """Annotation documents, assignments, case index and the reason for every page without one.
 
-    Without ``images`` or ``cases`` those checks pass.
+    Without ``images`` or ``cases`` those checks pass. The templates make the paths of the assignments.
     """
     listed = page_list.select("case_id", "page_id").distinct()
     token_pages = tokens.select("case_id", "page_id").distinct()
@@ -43,7 +45,7 @@ def prepare(
     ready = reconciled.filter(ok).select("case_id", "page_id")
     # pages without tokens add no rows to the table, so its list needs no look at the tokens
     wanted = pages.page_reconciliation(listed, cases=cases, images=images).filter(ok)
-    assignments = tracking.tracking_rows(ready, share, annotators)
+    assignments = tracking.tracking_rows(ready, share, annotators, image_template, label_template)
     out = {
         "annotations": pages.annotation_table(tokens, wanted),
         "assignments": assignments,
@@ -87,8 +89,8 @@ def evaluate_annotations(
         out[f"averages_{mode}"] = confusion.report_averages(report, levels)
     flat = out["confusion_flat"].filter(F.col("level") == "overall")
     out["accuracy"] = confusion.accuracy(out["confusion_flat"], levels)
-    out["error_pairs"] = confusion.error_pairs(flat)
-    out["confused_labels"] = confusion.confused_labels(flat)
+    out["error_pairs"] = confusion.error_pairs(flat, None)
+    out["confused_labels"] = confusion.confused_labels(flat, None)
     out["error_rate"] = confusion.error_rate(
         with_evaluation_labels(combinations, annotator, labels, bio=False),
         "ground_truth_flat",
@@ -111,6 +113,7 @@ def evaluate_annotations(
     out["transitions"] = sequences.label_transitions(
         judged, keys, pos, "ground_truth_flat", "pred_flat"
     )
+    out["reading_order_similarity"] = sequences.reading_order_similarity(out["transitions"], scope)
     if "prob" in df.columns:
         bins = calibration_bins(judged, "ground_truth_flat", "pred_flat")
         out["calibration"] = bins
@@ -168,8 +171,7 @@ def evaluate_predictions(
     report = confusion.class_report(total)
     per_page = confusion.page_metrics(counts, scope)
     if page_index:
-        names = indexed(df.select(scope).distinct(), [scope], "page_index")
-        per_page = per_page.join(names, scope)
+        per_page = indexed(per_page, scope, "page_index", sample_from=df)
     return {
         "classes": report,
         "token_metrics": confusion.report_averages(report),
@@ -177,7 +179,7 @@ def evaluate_predictions(
         "pages": per_page,
         "summary": confusion.page_summary(per_page),
         "low_score_pages": confusion.low_score_pages(per_page),
-        "worst_classes": confusion.worst_classes(report),
+        "worst_classes": confusion.worst_classes(report, None),
     }
 
 

@@ -174,8 +174,10 @@ def job_markdown(
     )
 
 
-def evaluation_markdown(frames: dict[str, DataFrame], annotator: str) -> DataFrame:
-    """Report of `plans.workflows.evaluate_annotations`."""
+def evaluation_markdown(
+    frames: dict[str, DataFrame], annotator: str, scope: str = "file"
+) -> DataFrame:
+    """Report of `plans.workflows.evaluate_annotations`; the list of errors shows the first ten."""
     spark = frames["summary"].sparkSession
 
     def overall(name: str) -> DataFrame:
@@ -188,13 +190,26 @@ def evaluation_markdown(frames: dict[str, DataFrame], annotator: str) -> DataFra
         return F.format_string(f"- **{label}**: %,d", F.col(c))
 
     def files(name: str, *columns: str) -> DataFrame:
-        return frames[name].filter(F.col("level") == "group").select("file", *columns)
+        return frames[name].filter(F.col("level") == "group").select(scope, *columns)
 
     per_file = (
         files("averages_flat", "accuracy", "weighted_f1", "total")
-        .join(files("averages_bio", F.col("weighted_f1").alias("bio_f1")), "file", "left")
+        .join(files("averages_bio", F.col("weighted_f1").alias("bio_f1")), scope, "left")
     )
     pairs = frames["error_pairs"]
+    # with one annotator there is nothing to agree with
+    agreement = [] if "kappa" not in frames else [
+        _fixed(spark, 12, "", "## Inter-Annotator Agreement"),
+        _bullets(
+            overall("kappa"),
+            13,
+            [
+                number("Cohen's Kappa", "kappa_score"),
+                number("Agreement Percentage", "agreement_percentage"),
+                count("Total Dual Annotations", "total_dual_annotations"),
+            ],
+        ),
+    ]
     parts = [
         _fixed(spark, 0, "# NER Evaluation Report", "", "## Evaluation Summary"),
         _bullets(
@@ -264,24 +279,15 @@ def evaluation_markdown(frames: dict[str, DataFrame], annotator: str) -> DataFra
                      F.lit("\u0000"), "pred"),
             F.format_string("| %s → %s | %d |", F.col("truth"), F.col("pred"), F.col("n")),
         ),
-        _fixed(spark, 12, "", "## Inter-Annotator Agreement"),
-        _bullets(
-            overall("kappa"),
-            13,
-            [
-                number("Cohen's Kappa", "kappa_score"),
-                number("Agreement Percentage", "agreement_percentage"),
-                count("Total Dual Annotations", "total_dual_annotations"),
-            ],
-        ),
+        *agreement,
         _fixed(spark, 14, "", "## Per-File Performance Summary", "",
                "| File | Token Accuracy | Entity F1 (Flat) | Entity F1 (BIO) | Total Tokens |",
                "|------|----------------|------------------|-----------------|-------------|"),
         _lines(
             per_file,
             15,
-            "file",
-            F.format_string("| %s | %.3f | %.3f | %.3f | %,d |", F.col("file"), F.col("accuracy"),
+            scope,
+            F.format_string("| %s | %.3f | %.3f | %.3f | %,d |", F.col(scope), F.col("accuracy"),
                             F.col("weighted_f1"), F.coalesce("bio_f1", F.lit(0.0)), F.col("total")),
         ),
     ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +21,12 @@ def write_annotations(
     df: DataFrame,
     path: str,
     order: list[str] = ("reading_pos",),
-    by: list[str] = ("case_id", "page_id"),
+    by: list[str] = ("case_id",),
 ) -> None:
-    """One partition per annotation document, its rows in reading order.
+    """Annotation documents, one folder per case, sorted by page and reading order in its files.
 
-    A folder per page is what annotators are handed. A corpus of many millions of pages is better
-    kept with ``by=["case_id"]``; the rows are sorted by page within a file then.
+    ``by=["case_id", "page_id"]`` makes the folder per page that annotators are handed; that is for
+    small sets, as a large corpus has too many pages for folders.
     """
     rest = [c for c in ("case_id", "page_id") if c not in by]
     _write_partitioned(df, path, list(by), [*rest, *order])
@@ -52,7 +54,12 @@ def write_version(df: DataFrame, root: str, version: int) -> str:
 
 
 def latest_version(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a table; partition pruning reads only its files."""
-    versions = spark.read.option("header", True).option("escape", '"').csv(root)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    """The newest version of a table: the folders are listed, and one of them is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [status.getPath().getName() for status in listed if status.isDirectory()]
+    versions = [int(n.removeprefix("version=")) for n in names if re.fullmatch(r"version=\d+", n)]
+    if not versions:
+        raise FileNotFoundError(f"no version of a table in {root}")
+    newest = f"{root}/version={max(versions)}"
+    return spark.read.option("header", True).option("escape", '"').csv(newest)

@@ -21,15 +21,23 @@ IMAGE_FILES = "*/images/*.jpeg"
 JSON_FILES = "*/extracted_text_json/*.json"
 _CORRUPT = "_corrupt_record"
 _PATH = "_metadata.file_path"
+_SPLIT_BITS = 12
 
 
 def file_position() -> Column:
     """Row order inside a file as one number.
 
-    Splits of a file are at least 4 MB apart, so the start of the split in MB tells them apart, and
-    the lower 33 bits of the running id count rows inside a task. Valid right after a scan only.
+    The start of the split in units of 4 KB tells the splits of a file apart, and the lower 33 bits of
+    the running id count rows inside a task. Smaller splits are an error, except at the end of a file.
+    Valid right after a scan only.
     """
-    split = F.shiftright(F.col("_metadata.file_block_start").cast("bigint"), 20)
+    start = F.col("_metadata.file_block_start").cast("bigint")
+    length = F.col("_metadata.file_block_length").cast("bigint")
+    ends = start + length >= F.col("_metadata.file_size").cast("bigint")
+    unit = F.shiftright(start, _SPLIT_BITS)
+    split = F.when(ends | (length >= 1 << _SPLIT_BITS), unit).otherwise(
+        F.raise_error(F.lit("splits of a file must hold 4 KB at least")).cast("bigint")
+    )
     inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return F.shiftleft(split, 33).bitwiseOR(inside)
 
@@ -54,15 +62,20 @@ def _header(spark: SparkSession, path) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def _case_from(path: str, below: str) -> Column:
-    return F.url_decode(F.regexp_extract(path, rf"/([^/]+)/{below}/", 1))
+def _plain(path) -> Column:
+    """A file path with its %XX codes undone; a plus sign is a plus sign."""
+    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+
+
+def _case_from(path, below: str) -> Column:
+    return F.regexp_extract(path, rf"/([^/]+)/{below}/", 1)
 
 
 def _single_layout(
     spark: SparkSession, path: str, columns: list[str], case_id, multi_line: bool
 ) -> DataFrame:
     raw = _csv(spark, columns, multi_line).csv(path)
-    case = _case_from(_PATH, "processing") if case_id is None else case_id(F.col(_PATH))
+    case = _case_from(_plain(_PATH), "processing") if case_id is None else case_id(F.col(_PATH))
     scanned = raw.select(case.alias("case_id"), "*", file_position().alias("pos"))
     out = scanned if "page_id" in columns else scanned.withColumnRenamed(
         "image_id" if "image_id" in columns else columns[0], "page_id"
@@ -155,15 +168,23 @@ def scan_predictions(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def scan_annotations(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation documents written by `sinks.write_annotations`; `file` names the document."""
-    return spark.read.parquet(path).withColumn("file", F.concat_ws("_", "case_id", "page_id"))
+    """Annotation documents written by `sinks.write_annotations`; `file` names the document.
+
+    Ids are text, also those kept in folder names, where they look like numbers or dates.
+    """
+    ids = ("case_id", "page_id")
+    found = spark.read.parquet(path).schema
+    schema = T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name in ids else f for f in found.fields]
+    )
+    return spark.read.schema(schema).parquet(path).withColumn("file", F.concat_ws("_", *ids))
 
 
 def scan_json_pages(spark: SparkSession, cases_dir: str, files: str = JSON_FILES) -> DataFrame:
     """Extracted text of all pages: case_id, page_id and the document as text."""
     raw = spark.read.text(f"{cases_dir}/{files}", wholetext=True)
     return raw.select(
-        _case_from(_PATH, "extracted_text_json").alias("case_id"),
+        _case_from(_plain(_PATH), "extracted_text_json").alias("case_id"),
         file_stem(F.col("_metadata.file_name")).alias("page_id"),
         F.col("value").alias("json"),
     )

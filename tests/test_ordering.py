@@ -117,15 +117,15 @@ def test_row_number(spark, bits):
     assert {(r.doc, r.pos): r.n for r in got} == want
 
 
-@pytest.mark.parametrize("hot_rows", [0, 7, 1000])
-def test_ranked(spark, hot_rows):
-    rng = random.Random(hot_rows)
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_ranked(spark, bits):
+    rng = random.Random(bits)
     rows = [
         (rng.choice(["a", "b", "b", "b", None]), rng.choice([None, 1, 2, 2, 9]), rng.choice([None, 3, 4]), i)
         for i in range(80)
     ]
     df = spark.createDataFrame(rows, "page string, y int, x int, pos bigint").repartition(4)
-    got = {r.pos: r.n for r in ranked(df, ["page"], ["y", "x"], "pos", "n", hot_rows, bits=2).collect()}
+    got = {r.pos: r.n for r in ranked(df, ["page"], ["y", "x"], "pos", "n", bits).collect()}
     groups, want = {}, {}
     for r in rows:
         groups.setdefault(r[0], []).append(r)
@@ -136,27 +136,26 @@ def test_ranked(spark, hot_rows):
     assert got == want
 
 
-def test_annotation_table_of_large_pages(spark):
-    """The path for large pages gives the same table as the usual one."""
-    from pagemark.operators.pages import annotation_table
-
-    rng = random.Random(3)
-    rows = [
-        (f"c{i % 2}", f"p{i % 3}", str(rng.randrange(9)), f"({rng.randrange(4)}, {rng.randrange(4)}, 9, 9)"
-         if i % 7 else "none", str(rng.randrange(3)), rng.choice(["0.5", "0.9"]), i)
-        for i in range(90)
-    ]
-    df = spark.createDataFrame(
-        rows, "case_id string, page_id string, word_ids string, bboxes string, pred string, prob string, pos bigint")
-    usual = annotation_table(df).collect()
-    for hot_rows in (0, 14, 15):
-        assert sorted(map(str, annotation_table(df, hot_rows=hot_rows).collect())) == sorted(map(str, usual))
+def test_no_task_sees_a_large_page(spark):
+    """A third of all rows on one page, half of them without a box: the windows stay small."""
+    rows = [("big", i % 97 if i % 2 else None, i % 7 if i % 2 else None, i) for i in range(4000)]
+    rows += [(f"p{i % 400}", i % 9, i % 5, i) for i in range(4000, 12_000)]
+    df = spark.createDataFrame(rows, "page string, y int, x int, pos bigint").repartition(8)
+    out = ranked(df, ["page"], ["y", "x"], "pos", "n", bits=6)
+    got = sorted((r.n, r.pos) for r in out.filter("page = 'big'").collect())
+    far = float("inf")
+    big = sorted(rows[:4000], key=lambda r: (far if r[1] is None else r[1], far if r[2] is None else r[2], r[3]))
+    assert got == [(i, r[3]) for i, r in enumerate(big, 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_group" in plan and "Union" not in plan
+    strips = df.selectExpr("page", "coalesce(y, -1) y", "if(y is null, shiftright(pos, 6), 0) b")
+    assert strips.groupBy("page", "y", "b").count().selectExpr("max(count)").first()[0] <= 64
 
 
 def test_indexed(spark):
     names = [f"page{i:03}.csv" for i in range(137)]
     df = spark.createDataFrame([(n,) for n in names], "file string").repartition(6)
-    got = {r.file: r.i for r in indexed(df, ["file"], "i").collect()}
+    got = {r.file: r.i for r in indexed(df, "file", "i").collect()}
     assert got == {n: i for i, n in enumerate(names)}
 
 

@@ -61,3 +61,46 @@ s AS (SELECT 'group' AS level, case_id, orig, fin, std FROM a JOIN b USING (case
 SELECT level, case_id, CAST(orig AS BIGINT) AS original_rows, CAST(fin AS BIGINT) AS final_rows,
        CAST(std AS BIGINT) AS labels_standardized, CAST(orig - fin AS BIGINT) AS duplicates_removed
 FROM s"""
+
+
+def _stored(spark, sf):
+    """Annotation rows as a table holds them, with the positions a scan and the reading order gave."""
+    place = F.col("word_no") * 10**14 + F.col("l_partkey") * 10**7 + F.col("l_suppkey")
+    return tokens(spark, sf, case=True).select(
+        "case_id", "page_id", "labels", "pred", "annotator1_label", "annotator2_label",
+        place.alias("pos"), F.col("l_suppkey").alias("reading_pos"),
+    )
+
+
+def duplicate_rows_stored(spark, sf):
+    return audit.duplicate_rows(_stored(spark, sf), "case_id")
+
+
+QUERIES["duplicate_rows_stored"] = duplicate_rows_stored
+ORACLE["duplicate_rows_stored"] = f"""WITH {TOK},
+d AS (SELECT CAST(o_custkey AS VARCHAR) AS case_id, count(*) - 1 AS extra
+      FROM tok JOIN orders ON page_no = o_orderkey
+      GROUP BY o_custkey, page_id, labels, pred, annotator1_label, annotator2_label),
+p AS (SELECT case_id, CAST(sum(extra) AS BIGINT) AS duplicates FROM d GROUP BY 1)
+SELECT 'group' AS level, case_id, duplicates FROM p
+UNION ALL SELECT 'overall', 'all', CAST(sum(duplicates) AS BIGINT) FROM p"""
+
+
+def cleanup_stats_stored(spark, sf):
+    df = _stored(spark, sf)
+    return audit.cleanup_statistics(df, audit.cleanup_job(df, "annotator1", ["pos"]), "case_id")
+
+
+QUERIES["cleanup_stats_stored"] = cleanup_stats_stored
+ORACLE["cleanup_stats_stored"] = f"""WITH {TOK},
+t AS (SELECT tok.*, CAST(o_custkey AS VARCHAR) AS case_id FROM tok JOIN orders ON page_no = o_orderkey),
+k AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY page_id, labels, pred
+                                                 ORDER BY word_no, l_partkey, l_suppkey) = 1),
+a AS (SELECT case_id, count(*) AS fin, count(*) FILTER (annotator1_label IS NULL AND annotator2_label <> '')
+             AS std FROM k GROUP BY 1),
+b AS (SELECT case_id, count(*) AS orig FROM t GROUP BY 1),
+s AS (SELECT 'group' AS level, case_id, orig, fin, std FROM a JOIN b USING (case_id)
+      UNION ALL SELECT 'overall', 'all', sum(orig), sum(fin), sum(std) FROM a JOIN b USING (case_id))
+SELECT level, case_id, CAST(orig AS BIGINT) AS original_rows, CAST(fin AS BIGINT) AS final_rows,
+       CAST(std AS BIGINT) AS labels_standardized, CAST(orig - fin AS BIGINT) AS duplicates_removed
+FROM s"""

@@ -95,6 +95,17 @@ SELECT page_id, word_ids,
 FROM tok"""
 
 
+def strip_bio_white(spark, sf):
+    """White space of other kinds than blanks around a tag."""
+    df = labels.decode_column(tokens(spark, sf), VOCAB, "UNK", out="tag")
+    wide = F.concat(F.lit("\t "), "tag", F.lit("\r\n\u00a0"))
+    return df.select(*ID, strip_bio(wide).alias("flat"))
+
+
+QUERIES["strip_bio_white"] = strip_bio_white
+ORACLE["strip_bio_white"] = f"WITH {TOK} SELECT page_id, word_ids, flat FROM tok"
+
+
 def flat_to_bio(spark, sf):
     """Documents are cases here: the words of a case's pages in order."""
     df = words(spark, sf, case=True).withColumn("pos", F.col("page_no") * 8 + F.col("word_no"))

@@ -144,7 +144,20 @@ def confusion_wide(spark, sf):
 QUERIES["confusion_wide"] = confusion_wide
 ORACLE["confusion_wide"] = f"""WITH {FLAT}
 SELECT truth, count(*) FILTER (pred = 'ADDRESS') AS "ADDRESS", count(*) FILTER (pred = 'MONEY') AS "MONEY",
-       count(*) FILTER (pred = 'O') AS "O", count(*) FILTER (pred = 'ORG') AS "ORG"
+       count(*) FILTER (pred = 'O') AS "O", count(*) FILTER (pred = 'ORG') AS "ORG",
+       CAST(0 AS BIGINT) AS other
+FROM flat_rows GROUP BY truth"""
+
+
+def confusion_wide_other(spark, sf):
+    """Two classes have a column, the others share one."""
+    return confusion.confusion_wide(flat_counts(spark, sf), ["ADDRESS", "O"])
+
+
+QUERIES["confusion_wide_other"] = confusion_wide_other
+ORACLE["confusion_wide_other"] = f"""WITH {FLAT}
+SELECT truth, count(*) FILTER (pred = 'ADDRESS') AS "ADDRESS", count(*) FILTER (pred = 'O') AS "O",
+       count(*) FILTER (pred NOT IN ('ADDRESS', 'O')) AS other
 FROM flat_rows GROUP BY truth"""
 
 
@@ -158,9 +171,9 @@ page AS (SELECT page_id, CAST(sum(nt) AS BIGINT) AS num_tokens, sum(tp) / CAST(s
 
 
 def page_metrics(spark, sf):
-    per_page = _pages(spark, sf)
-    ids = indexed(tokens(spark, sf).select("page_id").distinct(), ["page_id"], "page_index")
-    return rounded(per_page.join(ids, "page_id"), "accuracy", "f1_macro")
+    names = tokens(spark, sf).select("page_id")
+    per_page = indexed(_pages(spark, sf), "page_id", "page_index", sample_from=names)
+    return rounded(per_page, "accuracy", "f1_macro")
 
 
 QUERIES["page_metrics"] = page_metrics
@@ -433,24 +446,35 @@ FROM flat_rows WHERE truth IN ('ADDRESS', 'MONEY', 'TITLE') GROUP BY truth"""
 
 
 def label_transitions(spark, sf):
-    def best(part):
-        collapsed = collapse_top_k(part, ROW_ORDER, WORD_KEY)
-        return with_evaluation_labels(collapsed, "annotator1", VOCAB, bio=False)
-
-    ordered = reading_order(
-        tokens(spark, sf, coordinates=True), "word_no", ["page_id"], prepare=best
-    )
+    collapsed = collapse_top_k(tokens(spark, sf, coordinates=True), ROW_ORDER, WORD_KEY)
+    best = with_evaluation_labels(collapsed, "annotator1", VOCAB, bio=False)
+    ordered = reading_order(best, "word_no", ["page_id"])
     return sequences.label_transitions(
         ordered, ["page_id"], "reading_pos", "ground_truth_flat", "pred_flat"
     )
 
 
 QUERIES["label_transitions"] = label_transitions
-ORACLE["label_transitions"] = f"""WITH {FLAT},
+_TRANSITIONS = f"""{FLAT},
 t AS (SELECT *, lag(truth) OVER w AS tb, lag(pred) OVER w AS pb FROM flat_rows
-      WINDOW w AS (PARTITION BY page_id ORDER BY y1, x1, word_no))
-SELECT page_id, count(*) AS transitions, count(*) FILTER (truth = pred AND tb = pb) AS equal
-FROM t WHERE tb IS NOT NULL GROUP BY 1"""
+      WINDOW w AS (PARTITION BY page_id ORDER BY y1, x1, word_no)),
+changes AS (
+  SELECT page_id, count(*) AS transitions, count(*) FILTER (truth = pred AND tb = pb) AS equal
+  FROM t WHERE tb IS NOT NULL GROUP BY 1)"""
+ORACLE["label_transitions"] = f"WITH {_TRANSITIONS} SELECT * FROM changes"
+
+
+def reading_order_similarity(spark, sf):
+    found = sequences.reading_order_similarity(label_transitions(spark, sf), "page_id")
+    return rounded(found, "similarity")
+
+
+QUERIES["reading_order_similarity"] = reading_order_similarity
+ORACLE["reading_order_similarity"] = f"""WITH {_TRANSITIONS},
+s AS (SELECT 'group' AS level, page_id, transitions, equal FROM changes
+      UNION ALL SELECT 'overall', 'all', sum(transitions), sum(equal) FROM changes)
+SELECT level, page_id, CAST(transitions AS BIGINT) AS transitions, CAST(equal AS BIGINT) AS equal,
+       round(equal / CAST(transitions AS DOUBLE), 6) AS similarity FROM s"""
 
 
 def errors_by_band(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagemark.functions.boxes import box_coordinates, inside_region, within_coordinate_range
 from pagemark.functions.labels import decode, strip_bio
 from pagemark.operators import dedup, pages
-from pagemark.operators.overlap import box_overlaps
+from pagemark.operators.overlap import box_overlaps, overlap_summary
 from workload.views import (
     ROW_ORDER,
     SUFFIX,
@@ -280,10 +280,10 @@ QUALIFY row_number() OVER (PARTITION BY page_id, labels, pred ORDER BY word_no,
 
 
 def reading_order(spark, sf):
-    def best(part):
-        return pages.with_coordinates(_odd_boxes(dedup.collapse_top_k(part, ROW_ORDER, WORD_KEY)))
-
-    return pages.reading_order(tokens(spark, sf), "word_no", ["page_id"], prepare=best).select(
+    best = pages.with_coordinates(
+        _odd_boxes(dedup.collapse_top_k(tokens(spark, sf), ROW_ORDER, WORD_KEY))
+    )
+    return pages.reading_order(best, "word_no", ["page_id"]).select(
         "page_id", "word_ids", "y1", "x1", "reading_pos"
     )
 
@@ -300,8 +300,7 @@ def box_overlap(spark, sf):
     return rounded(out, "overlap_share")
 
 
-QUERIES["box_overlap"] = box_overlap
-ORACLE["box_overlap"] = f"""WITH {TOK},
+_OVERLAPS = f"""{TOK},
 b AS (SELECT CAST(o_custkey AS VARCHAR) AS case_id, x1, y1, x2, y2, count(*) AS n
       FROM tok JOIN orders ON page_no = o_orderkey GROUP BY ALL),
 p AS (
@@ -310,10 +309,41 @@ p AS (
   FROM b AS a JOIN b ON a.case_id = b.case_id AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2
        AND b.y1 < a.y2 AND (a.y1, a.x1, a.y2, a.x2) < (b.y1, b.x1, b.y2, b.x2)
   UNION ALL
-  SELECT case_id, x1, y1, x2, y2, x1, y1, x2, y2, n * (n - 1) // 2 FROM b WHERE n > 1)
-SELECT *, CAST((least(a_x2, b_x2) - greatest(a_x1, b_x1)) * (least(a_y2, b_y2) - greatest(a_y1, b_y1))
+  SELECT case_id, x1, y1, x2, y2, x1, y1, x2, y2, n * (n - 1) // 2 FROM b WHERE n > 1),
+met AS (
+  SELECT *, CAST((least(a_x2, b_x2) - greatest(a_x1, b_x1)) * (least(a_y2, b_y2) - greatest(a_y1, b_y1))
                AS BIGINT) AS overlap_area,
        round((least(a_x2, b_x2) - greatest(a_x1, b_x1)) * (least(a_y2, b_y2) - greatest(a_y1, b_y1))
              / CAST(least((a_x2 - a_x1) * (a_y2 - a_y1), (b_x2 - b_x1) * (b_y2 - b_y1)) AS DOUBLE), 6)
          AS overlap_share
-FROM p"""
+  FROM p)"""
+QUERIES["box_overlap"] = box_overlap
+ORACLE["box_overlap"] = f"WITH {_OVERLAPS} SELECT * FROM met"
+
+
+def box_overlap_summary(spark, sf):
+    found = box_overlaps(tokens(spark, sf, case=True, coordinates=True), ["case_id"])
+    return rounded(overlap_summary(found, ["case_id"]), "largest_share")
+
+
+QUERIES["box_overlap_summary"] = box_overlap_summary
+ORACLE["box_overlap_summary"] = f"""WITH {_OVERLAPS}
+SELECT case_id, count(*) AS box_pairs, CAST(sum(word_pairs) AS BIGINT) AS word_pairs,
+       CAST(sum(word_pairs * overlap_area) AS BIGINT) AS overlap_area, max(overlap_share) AS largest_share
+FROM met GROUP BY 1"""
+
+
+def topk_collapse_text(spark, sf):
+    """Probabilities as a file has them: text, some of it no number."""
+    prob = F.when(F.col("l_quantity") < 5, "x").otherwise(F.col("prob").cast("string"))
+    df = tokens(spark, sf).withColumn("prob", prob)
+    return dedup.collapse_top_k(df, ROW_ORDER, WORD_KEY).select("page_id", "word_ids", "pred", "prob")
+
+
+QUERIES["topk_collapse_text"] = topk_collapse_text
+ORACLE["topk_collapse_text"] = f"""WITH {TOK},
+t AS (SELECT *, CASE WHEN l_quantity < 5 THEN 'x' ELSE CAST(prob AS VARCHAR) END AS written,
+             CASE WHEN l_quantity < 5 THEN NULL ELSE prob END AS known FROM tok)
+SELECT page_id, word_ids, pred, written AS prob FROM t
+QUALIFY row_number() OVER (PARTITION BY page_id, word_ids
+  ORDER BY known DESC NULLS LAST, pred = labels DESC, pred, {SUFFIX}) = 1"""
