@@ -1,6 +1,7 @@
 """Line dedup beside brute force over all pairs of lines."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,13 @@ def distance(a, b):
     return row[-1]
 
 
+def near(a, b, edits):
+    """Unequal lengths and letters rule most pairs out before the table is filled."""
+    if abs(len(a) - len(b)) > edits or sum((Counter(a) - Counter(b)).values()) > edits:
+        return False
+    return distance(a, b) <= edits
+
+
 def brute(rows, edits, near_from):
     places = sorted(
         ((d is None, d or 0), i, raw.strip(lines.BLANKS))
@@ -32,7 +40,7 @@ def brute(rows, edits, near_from):
     gone = set()
     for x, px in first.items():
         for y, py in first.items():
-            if py < px and min(len(x), len(y)) >= near_from and distance(x, y) <= edits:
+            if py < px and min(len(x), len(y)) >= near_from and near(x, y, edits):
                 gone.add(x)
     out = []
     for d, text in rows:
