@@ -5,6 +5,7 @@ from pagemark.plans.workflows import (  # noqa: F401
     evaluate_annotations,
     evaluate_predictions,
     export_columns,
+    export_folder,
     fill,
     prepare,
     track,

@@ -6,7 +6,7 @@ consecutive page number needs a sample of names first. Ranked frames hold all ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemark.operators import audit, confusion, datasets, pages, sequences, tracking
@@ -20,6 +20,8 @@ from pagemark.operators.calibration import (
 from pagemark.operators.labels import with_evaluation_labels
 from pagemark.operators.ordering import indexed
 from pagemark.schemas import ANNOTATORS
+from pagemark.sinks.tables import write_csv
+from pagemark.sources.files import scan_datasets
 
 
 def prepare(
@@ -229,3 +231,31 @@ def export_columns(
         if chosen is not None:
             frames[name if keep_name else f"{name}_extracted"] = chosen
     return frames, datasets.export_status(named, wanted)
+
+
+def export_folder(
+    spark: SparkSession,
+    folder: str,
+    columns: str | list[str],
+    out: str,
+    keep_name: bool = False,
+    recursive: bool = False,
+) -> DataFrame:
+    """Lenient export of all datasets of a folder as CSV; one status row per dataset.
+
+    A dataset that cannot be read, or has none of the columns, fails alone: `exported` is false, and
+    `reason` says why.
+    """
+    wanted = datasets.column_list(columns) if isinstance(columns, str) else list(columns)
+    frames, failures = scan_datasets(spark, folder, recursive)
+    chosen, status = ({}, None) if not frames else export_columns(frames, wanted, keep_name)
+    for name, frame in chosen.items():
+        write_csv(frame, f"{out}/{name}")
+    schema = "dataset string, exported boolean, columns string, missing string, rows bigint, reason string"
+    failed = spark.createDataFrame(
+        [(name, False, "", ",".join(wanted), 0, reason) for name, reason in failures.items()], schema
+    )
+    if status is None:
+        return failed
+    reason = F.when(~F.col("exported"), F.lit("none of the columns"))
+    return status.withColumn("reason", reason).unionByName(failed)

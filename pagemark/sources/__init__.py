@@ -2,8 +2,10 @@
 
 from pagemark.sources.files import (  # noqa: F401
     file_position,
+    list_files,
     scan_annotations,
     scan_assignments,
+    scan_datasets,
     scan_images,
     scan_json_pages,
     scan_pages,

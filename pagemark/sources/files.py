@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ from pagemark.schemas import (
 TOKEN_FILES = "*/processing/form-recogniser/df_check.csv"
 IMAGE_FILES = "*/images/*.jpeg"
 JSON_FILES = "*/extracted_text_json/*.json"
+# Suffixes of the files that count as datasets.
+DATASET_SUFFIXES = (".csv", ".json", ".parquet")
 _CORRUPT = "_corrupt_record"
 _PATH = "_metadata.file_path"
 _SPLIT_BITS = 12
@@ -200,3 +204,50 @@ def scan_images(spark: SparkSession, cases_dir: str, files: str = IMAGE_FILES) -
         "length",
         "modificationTime",
     )
+
+
+def list_files(spark: SparkSession, folder: str, recursive: bool = False) -> list[str]:
+    """Paths of the files in a folder of any file system Spark reads, in order; with ``recursive`` also
+    those below. Names that begin with a dot or an underscore are left out, and so are the insides of
+    folders that Spark has written (``name.parquet``), which count as one file each."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, waiting = [], [root]
+    while waiting:
+        for status in system.listStatus(waiting.pop()):
+            path = status.getPath()
+            if path.getName().startswith((".", "_")):
+                continue
+            if status.isFile() or path.getName().endswith(DATASET_SUFFIXES):
+                found.append(path.toString())
+            elif recursive:
+                waiting.append(path)
+    return sorted(found)
+
+
+def scan_datasets(
+    spark: SparkSession, folder: str, recursive: bool = False
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Datasets of a folder by name (the path below the folder, without suffix), and why others failed.
+
+    CSV files with a header, JSON lines and Parquet are read; other files are passed over. Only headers and
+    schemas are looked at here. Two files of one name keep their suffix.
+    """
+    paths = [p for p in list_files(spark, folder, recursive) if p.endswith(DATASET_SUFFIXES)]
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/") + "/"
+    names = [p.partition(base)[2] for p in paths]
+    stems = [n.rpartition(".")[0] for n in names]
+    frames, failures = {}, {}
+    for path, name, stem in zip(paths, names, stems):
+        name = name if stems.count(stem) > 1 else stem
+        try:
+            if path.endswith(".csv"):
+                frame = spark.read.option("header", True).option("escape", '"').csv(path)
+            else:
+                frame = spark.read.format(path.rpartition(".")[2]).load(path)
+            if not frame.columns:
+                raise ValueError("the dataset has no columns")
+            frames[name] = frame
+        except (AnalysisException, SparkRuntimeException, Py4JJavaError, ValueError) as e:
+            failures[name] = str(e).strip().partition("\n")[0][:200]
+    return frames, failures

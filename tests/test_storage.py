@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import ner17
-from pagemark import sinks, sources
+from pagemark import plans, sinks, sources
 from pagemark.operators import audit, dedup, jsonops
 from pagemark.operators.labels import decode_by_table
 from pagemark.operators.pages import image_manifest
@@ -133,3 +133,36 @@ def test_text_lines_of_an_object_take_linear_time(spark):
 
     run(as_list)
     assert run(as_object) < 6 * run(as_list) + 3
+
+
+def test_export_of_a_folder(spark, tmp_path):
+    data = tmp_path / "data"
+    (data / "deep").mkdir(parents=True)
+    (data / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    (data / "b.csv").write_text("z\n1\n")
+    (data / "broken.parquet").write_text("no parquet")
+    (data / "notes.txt").write_text("passed over")
+    spark.createDataFrame([(5,)], "x int").write.parquet(str(data / "deep" / "c.parquet"))
+    flat = {r.dataset: r for r in plans.export_folder(spark, str(data), "x, y", str(tmp_path / "o1")).collect()}
+    assert set(flat) == {"a", "b", "broken"}
+    assert (flat["a"].exported, flat["a"].rows, flat["a"].missing, flat["a"].reason) == (True, 2, "", None)
+    assert not flat["b"].exported and flat["b"].reason == "none of the columns"
+    assert not flat["broken"].exported and flat["broken"].reason
+    written = spark.read.option("header", True).csv(str(tmp_path / "o1" / "a_extracted"))
+    assert sorted((r.x, r.y) for r in written.collect()) == [("1", "2"), ("3", "4")]
+    deep = plans.export_folder(spark, str(data), ["x"], str(tmp_path / "o2"), keep_name=True, recursive=True)
+    assert {r.dataset for r in deep.filter("exported").collect()} == {"a", "deep/c"}
+    assert spark.read.option("header", True).csv(str(tmp_path / "o2" / "deep" / "c")).first().x == "5"
+    (tmp_path / "none").mkdir()
+    assert plans.export_folder(spark, str(tmp_path / "none"), ["x"], str(tmp_path / "o3")).count() == 0
+
+
+def test_path_templates_of_prepare(spark):
+    tokens = spark.createDataFrame(
+        [("c", "p", 0, "w", "(1, 2, 3, 4)", "0", 0.5)],
+        "case_id string, page_id string, pos bigint, words string, bboxes string, pred string, prob double",
+    )
+    out = plans.prepare(
+        tokens, tokens.select("case_id", "page_id"), "Z:", image_template="{share}/{case_id}/{page_id}.png"
+    )
+    assert out["assignments"].first().image_file_path == "Z:/c/p.png"
