@@ -44,6 +44,54 @@ def _attach(df: DataFrame, extra: DataFrame, keys: list[str], how: str = "left")
     return joined.select(*kept, *[F.col(f"r.{c}") for c in extra.columns if c not in keys])
 
 
+def with_earlier(
+    blocks: DataFrame, keys: list[str], values: dict[str, tuple[str, str]], bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Add to every block summary what the blocks before it in its document amount to.
+
+    ``values`` maps a new column to a column and how it is folded: ``last`` takes the value of the block
+    before, ``sum`` and ``max`` fold all blocks before; NULL where there is none. Where positions are
+    sparse there may be as many blocks as rows. So blocks are grouped in turn, and no window sees more
+    than 2^bits of them, nor of their groups as long as positions stay below 2^48.
+    """
+    cut = blocks.withColumn("_upper", F.shiftright("_block", bits))
+    inside = Window.partitionBy(*keys, "_upper").orderBy("_block")
+    across = Window.partitionBy(*keys).orderBy("_upper")
+    all_before = (Window.unboundedPreceding, -1)
+
+    def fold(kind: str, c: str, window) -> Column:
+        if kind == "last":
+            return F.lag(c).over(window)
+        return (F.sum if kind == "sum" else F.max)(c).over(window.rowsBetween(*all_before))
+
+    whole = {
+        c: (F.max_by(c, "_block") if kind == "last" else F.sum(c) if kind == "sum" else F.max(c))
+        for c, kind in values.values()
+    }
+    uppers = cut.groupBy(*keys, "_upper").agg(*[v.alias(c) for c, v in whole.items()])
+    outer = uppers.select(
+        *keys, "_upper", *[fold(kind, c, across).alias(f"_outer_{n}") for n, (c, kind) in values.items()]
+    )
+    near = cut.select(
+        "*",
+        (F.row_number().over(inside) == 1).alias("_opening"),
+        *[fold(kind, c, inside).alias(f"_inner_{n}") for n, (c, kind) in values.items()],
+    )
+    joined = near.join(outer, [*keys, "_upper"], "left")
+
+    def both(name: str, kind: str) -> Column:
+        inner, other = F.col(f"_inner_{name}"), F.col(f"_outer_{name}")
+        if kind == "last":
+            return F.when(F.col("_opening"), other).otherwise(inner)
+        if kind == "max":
+            return F.greatest(inner, other)
+        return F.coalesce(inner + other, inner, other)
+
+    return joined.select(
+        *blocks.columns, *[both(n, kind).alias(n) for n, (_, kind) in values.items()]
+    )
+
+
 def with_previous(
     df: DataFrame, keys: list[str], pos: str, values: dict[str, str], bits: int = BLOCK_BITS
 ) -> DataFrame:
@@ -56,9 +104,8 @@ def with_previous(
     last = cut.groupBy(*keys, "_block").agg(
         F.max_by(F.struct(*sources), F.col(pos)).alias("_last")
     )
-    over_blocks = Window.partitionBy(*keys).orderBy("_block")
     # documents inside one block, nearly all of them, leave no row here
-    carry = last.withColumn("_carry", F.lag("_last").over(over_blocks)).filter(
+    carry = with_earlier(last, keys, {"_carry": ("_last", "last")}, bits).filter(
         F.col("_carry").isNotNull()
     )
     joined = _with_summary(cut, carry.select(*keys, "_block", "_carry"), keys)
@@ -89,8 +136,6 @@ def with_span_starts(
     """
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    over_blocks = Window.partitionBy(*keys).orderBy("_block")
-    earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
 
     def begins(tag: str, before: str) -> Column:
         kind = bio_type(tag)
@@ -119,13 +164,14 @@ def with_span_starts(
             F.max_by(t, pos).alias(f"_tail_{t}"),
         ]
     blocks = cut.groupBy(*keys, "_block").agg(*summary)
-    blocks = blocks.select("*", *[F.lag(f"_tail_{t}").over(over_blocks).alias(f"_before_{t}") for t in tags])
+    blocks = with_earlier(blocks, keys, {f"_before_{t}": (f"_tail_{t}", "last") for t in tags}, bits)
     blocks = blocks.select("*", *[begins(f"_head_{t}", f"_before_{t}").alias(f"_opens_{t}") for t in tags])
     last = {
         t: F.coalesce(f"_later_{t}", F.when(F.col(f"_opens_{t}"), F.col("_at"))) for t in tags
     }
     # where the span running into a block began, if the block does not open with its own
-    blocks = blocks.select("*", *[F.max(last[t]).over(earlier).alias(f"_from_{t}") for t in tags])
+    blocks = blocks.select("*", *[last[t].alias(f"_last_{t}") for t in tags])
+    blocks = with_earlier(blocks, keys, {f"_from_{t}": (f"_last_{t}", "max") for t in tags}, bits)
     # only blocks whose head continues a span need a correction
     continues = reduce(
         lambda a, b: a | b,
@@ -155,10 +201,7 @@ def with_row_number(
     """Number the rows of a document 1, 2, … by ``pos`` with block offsets."""
     cut = df.withColumn("_block", block(pos, bits))
     counts = cut.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.withColumn("_offset", F.sum("_n").over(earlier)).filter(
+    offsets = with_earlier(counts, keys, {"_offset": ("_n", "sum")}, bits).filter(
         F.col("_offset").isNotNull()
     )
     joined = _with_summary(cut, offsets.select(*keys, "_block", "_offset"), keys)

@@ -86,6 +86,38 @@ def test_span_counts(spark, bits):
     assert got == want
 
 
+@pytest.mark.parametrize("bits", [2, 16])
+def test_sparse_positions(spark, bits):
+    """Positions spread over a wide range give a block per row; results and group sizes hold."""
+    wide = 1 << 20
+    rows = [(d, p * wide, t, q) for d, p, t, q in documents(60 + bits, 4, 150)]
+    rows += [("big", i * wide, "B-A" if i % 400 == 0 else "I-A", "I-A") for i in range(1200)]
+    df = frame(spark, rows)
+    got = entity_spans(df, ["doc"], "pos", "truth", bits).collect()
+    want = {(d, *s) for d, seq in by_document(rows).items() for s in spans([(r[1], r[2]) for r in seq])}
+    assert {(r.doc, r.entity_type, r.start, r.end, r.tokens) for r in got} == want
+    got = with_previous(df, ["doc"], "pos", {"before": "truth"}, bits).collect()
+    before = {(d, r[1]): seq[i - 1][2] if i else None
+              for d, seq in by_document(rows).items() for i, r in enumerate(seq)}
+    assert {(r.doc, r.pos): r.before for r in got} == before
+    got = with_row_number(df, ["doc"], "pos", "n", bits).collect()
+    want = {(d, r[1]): i for d, seq in by_document(rows).items() for i, r in enumerate(seq, 1)}
+    assert {(r.doc, r.pos): r.n for r in got} == want
+
+
+def test_no_window_over_all_blocks_of_a_document(spark):
+    df = frame(spark, [("d", i << 24, "I-A", "O") for i in range(50)])
+    for out in (
+        with_previous(df, ["doc"], "pos", {"b": "truth"}),
+        with_row_number(df, ["doc"], "pos", "n"),
+        entity_spans(df, ["doc"], "pos", "truth"),
+    ):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        windows = [line for line in plan.splitlines() if " Window [" in line or "- Window [" in line]
+        by_block = [w for w in windows if "_block#" in w.partition("windowspecdefinition(")[2].partition(" ASC")[0]]
+        assert windows and all("_upper#" in w for w in by_block if "_block#" in w and "pos#" not in w)
+
+
 def test_known_spans(spark):
     tags = ["O", "I-A", "I-A", "B-A", "I-B", "O"]
     df = spark.createDataFrame([("d", i, t) for i, t in enumerate(tags)], "doc string, pos bigint, tag string")
