@@ -153,17 +153,24 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def candidate_pairs(lines: DataFrame, edits: int, near_from: int) -> DataFrame:
     """Pairs of line hashes that share a segment and nearly the same letters: a, b."""
-    long = lines.where(F.col("size") >= near_from).select(
-        F.col("h1").alias("id"), "line", "size", letter_counts(F.col("line")).alias("letters")
+    line, size = F.col("line"), F.col("size")
+    # letters are counted and segments hashed once, and read twice
+    long = stored(
+        lines.where(size >= near_from).select(
+            F.col("h1").alias("id"),
+            letter_counts(line).alias("letters"),
+            segment_keys(line, size, edits).alias("filed"),
+            probe_keys(line, size, edits, near_from).alias("probes"),
+        ),
+        "line_segments",
     )
 
-    def keyed(keys: Column) -> DataFrame:
+    def keyed(keys: str) -> DataFrame:
         rows = long.select("id", "letters", F.explode(keys).alias("key")).where("key is not null")
         # a line that occurs often files its segments once; each task brings them down before the shuffle
         return rows.groupBy("key", "id", "letters").agg(F.lit(1).alias("one")).drop("one")
 
-    filed = keyed(segment_keys(F.col("line"), F.col("size"), edits))
-    probes = keyed(probe_keys(F.col("line"), F.col("size"), edits, near_from))
+    filed, probes = keyed("filed"), keyed("probes")
 
     def meet(other: DataFrame, once: bool) -> DataFrame:
         x, y = filed.alias("x"), other.alias("y")
