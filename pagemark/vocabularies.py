@@ -64,15 +64,49 @@ INVOICE_LABELS = [
     "website_extra",
 ]
 
-# Entity types with B-/I- forms, then layout labels; the position is the class id.
-ENTITY_TYPES = (
-    "PER ORG LOC DATE MONEY MISC ADDRESS PHONE EMAIL URL PRODUCT EVENT TITLE QUANTITY ORDINAL "
-    "CARDINAL FACILITY GPE LANGUAGE NORP WORK_OF_ART LAW TIME PERCENT"
-).split()
-LAYOUT_LABELS = (
-    "HEADER FOOTER TITLE SUBTITLE PARAGRAPH LIST_ITEM TABLE_HEADER TABLE_CELL CAPTION FOOTNOTE "
-    "PAGE_NUMBER SECTION"
-).split()
+# Entity types, each with a B- and an I- form; the position is the class id.
+ENTITY_TYPES = [
+    "PER",
+    "ORG",
+    "LOC",
+    "DATE",
+    "MONEY",
+    "MISC",
+    "ADDRESS",
+    "PHONE",
+    "EMAIL",
+    "URL",
+    "PRODUCT",
+    "EVENT",
+    "TITLE",
+    "QUANTITY",
+    "ORDINAL",
+    "CARDINAL",
+    "FACILITY",
+    "GPE",
+    "LANGUAGE",
+    "NORP",
+    "WORK_OF_ART",
+    "LAW",
+    "TIME",
+    "PERCENT",
+]
+
+# The layout labels that follow them.
+LAYOUT_LABELS = [
+    "HEADER",
+    "FOOTER",
+    "TITLE",
+    "SUBTITLE",
+    "PARAGRAPH",
+    "LIST_ITEM",
+    "TABLE_HEADER",
+    "TABLE_CELL",
+    "CAPTION",
+    "FOOTNOTE",
+    "PAGE_NUMBER",
+    "SECTION",
+]
 
 
 def bio_labels(entity_types: list[str], layout: list[str] = ()) -> list[str]:
