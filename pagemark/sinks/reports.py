@@ -13,6 +13,34 @@ from pyspark.sql import functions as F
 
 from pagemark.functions.text import column, report_time
 
+# Headings and table heads of the reports, word for word.
+PROGRESS_TITLE = "# Annotation Progress Report"
+PROGRESS_TOTALS = "## Overall Statistics"
+PROGRESS_CASES = "## Progress by Case"
+PROGRESS_HEAD = "| Case ID | Total Images | Annotator 1 | Annotator 2 | Both Complete |"
+PROGRESS_RULE = "|---------|--------------|-------------|-------------|---------------|"
+PRODUCTIVITY_TITLE = "# Annotator Productivity Report"
+PRODUCTIVITY_SECTION = "## Annotator Statistics"
+PRODUCTIVITY_HEAD = "| Annotator | Assigned | Completed | Completion Rate |"
+PRODUCTIVITY_RULE = "|-----------|----------|-----------|----------------|"
+JOB_TOTALS = "## Summary Statistics"
+JOB_FILES = "## Per-File Details"
+EVALUATION_TITLE = "# NER Evaluation Report"
+EVALUATION_SUMMARY = "## Evaluation Summary"
+EVALUATION_METRICS = "## Overall Performance Metrics"
+EVALUATION_TOKENS = "### Token-Level Performance (Flat Label Comparison)"
+EVALUATION_FLAT = "### Entity Classification (Flat Labels)"
+EVALUATION_BIO = "### Entity Classification (BIO Format)"
+EVALUATION_SEQUENCES = "### Sequence-Level NER Performance"
+EVALUATION_ERRORS = "## Error Analysis"
+EVALUATION_CONFUSIONS = "### Top Confusion Patterns"
+CONFUSIONS_HEAD = "| True Label → Predicted Label | Count |"
+CONFUSIONS_RULE = "|-------------------------------|-------|"
+EVALUATION_AGREEMENT = "## Inter-Annotator Agreement"
+EVALUATION_FILES = "## Per-File Performance Summary"
+FILES_HEAD = "| File | Token Accuracy | Entity F1 (Flat) | Entity F1 (BIO) | Total Tokens |"
+FILES_RULE = "|------|----------------|------------------|-----------------|-------------|"
+
 
 def _share(part, whole) -> Column:
     part, whole = column(part), column(whole)
@@ -60,9 +88,9 @@ def progress_markdown(progress: DataFrame) -> DataFrame:
     names = ["Annotator 1 completion", "Annotator 2 completion", "Both annotators completion"]
     return _report(
         [
-            _fixed(spark, 0, "# Annotation Progress Report"),
+            _fixed(spark, 0, PROGRESS_TITLE),
             _bullets(spark.range(1), 1, [F.concat(F.lit("Generated: "), report_time()), F.lit("")]),
-            _fixed(spark, 2, "## Overall Statistics"),
+            _fixed(spark, 2, PROGRESS_TOTALS),
             _bullets(
                 overall,
                 3,
@@ -78,9 +106,9 @@ def progress_markdown(progress: DataFrame) -> DataFrame:
             _fixed(
                 spark,
                 4,
-                "## Progress by Case",
-                "| Case ID | Total Images | Annotator 1 | Annotator 2 | Both Complete |",
-                "|---------|--------------|-------------|-------------|---------------|",
+                PROGRESS_CASES,
+                PROGRESS_HEAD,
+                PROGRESS_RULE,
             ),
             _lines(
                 cases,
@@ -103,14 +131,14 @@ def productivity_markdown(productivity: DataFrame) -> DataFrame:
     rate = F.try_divide(F.col("completed").cast("double") * 100, F.col("assigned").cast("double"))
     return _report(
         [
-            _fixed(spark, 0, "# Annotator Productivity Report"),
+            _fixed(spark, 0, PRODUCTIVITY_TITLE),
             _bullets(spark.range(1), 1, [F.concat(F.lit("Generated: "), report_time()), F.lit("")]),
             _fixed(
                 spark,
                 2,
-                "## Annotator Statistics",
-                "| Annotator | Assigned | Completed | Completion Rate |",
-                "|-----------|----------|-----------|----------------|",
+                PRODUCTIVITY_SECTION,
+                PRODUCTIVITY_HEAD,
+                PRODUCTIVITY_RULE,
             ),
             _lines(
                 productivity,
@@ -141,7 +169,7 @@ def job_markdown(
     headings = ["File", *measures.values()]
     return _report(
         [
-            _fixed(spark, 0, f"# {title}", "", "## Summary Statistics"),
+            _fixed(spark, 0, f"# {title}", "", JOB_TOTALS),
             documents.agg(
                 F.format_string("- **Files Processed**: %d", F.count(F.lit(1))).alias("line")
             ).select(F.lit(1).alias("section"), F.lit("0").alias("ord"), "line"),
@@ -157,7 +185,7 @@ def job_markdown(
                 spark,
                 3,
                 "",
-                "## Per-File Details",
+                JOB_FILES,
                 "",
                 f"| {' | '.join(headings)} |",
                 f"|{'|'.join('-' * (len(h) + 2) for h in headings)}|",
@@ -199,7 +227,7 @@ def evaluation_markdown(
     pairs = frames["error_pairs"]
     # with one annotator there is nothing to agree with
     agreement = [] if "kappa" not in frames else [
-        _fixed(spark, 12, "", "## Inter-Annotator Agreement"),
+        _fixed(spark, 12, "", EVALUATION_AGREEMENT),
         _bullets(
             overall("kappa"),
             13,
@@ -211,7 +239,7 @@ def evaluation_markdown(
         ),
     ]
     parts = [
-        _fixed(spark, 0, "# NER Evaluation Report", "", "## Evaluation Summary"),
+        _fixed(spark, 0, EVALUATION_TITLE, "", EVALUATION_SUMMARY),
         _bullets(
             frames["summary"],
             1,
@@ -221,8 +249,8 @@ def evaluation_markdown(
                 count("Total Entity Labels", "total_entity_labels"),
             ],
         ),
-        _fixed(spark, 2, "", "## Overall Performance Metrics", "",
-               "### Token-Level Performance (Flat Label Comparison)"),
+        _fixed(spark, 2, "", EVALUATION_METRICS, "",
+               EVALUATION_TOKENS),
         _bullets(
             overall("averages_flat"),
             3,
@@ -231,7 +259,7 @@ def evaluation_markdown(
                 count("Total Tokens", "total"),
                 count("Correct Predictions", "correct"),
                 F.lit(""),
-                F.lit("### Entity Classification (Flat Labels)"),
+                F.lit(EVALUATION_FLAT),
                 number("Accuracy", "accuracy"),
                 number("Macro F1-Score", "macro_f1"),
                 number("Weighted F1-Score", "weighted_f1"),
@@ -244,14 +272,14 @@ def evaluation_markdown(
             overall("averages_bio"),
             4,
             [
-                F.lit("### Entity Classification (BIO Format)"),
+                F.lit(EVALUATION_BIO),
                 number("Accuracy", "accuracy"),
                 number("Macro F1-Score", "macro_f1"),
                 number("Weighted F1-Score", "weighted_f1"),
                 F.lit(""),
             ],
         ),
-        _fixed(spark, 5, "### Sequence-Level NER Performance"),
+        _fixed(spark, 5, EVALUATION_SEQUENCES),
         _bullets(
             frames["sequence_accuracy"],
             6,
@@ -263,15 +291,15 @@ def evaluation_markdown(
             7,
             [number("Sequence F1-Score", "f1"), F.lit("")],
         ),
-        _fixed(spark, 8, "## Error Analysis"),
+        _fixed(spark, 8, EVALUATION_ERRORS),
         _bullets(
             frames["error_rate"],
             9,
             [count("Total Errors", "total_errors"), number("Error Rate", "error_rate"), F.lit("")],
         ),
-        _fixed(spark, 10, "### Top Confusion Patterns", "",
-               "| True Label → Predicted Label | Count |",
-               "|-------------------------------|-------|"),
+        _fixed(spark, 10, EVALUATION_CONFUSIONS, "",
+               CONFUSIONS_HEAD,
+               CONFUSIONS_RULE),
         _lines(
             pairs.orderBy(F.col("n").desc(), "truth", "pred").limit(10),
             11,
@@ -280,9 +308,9 @@ def evaluation_markdown(
             F.format_string("| %s → %s | %d |", F.col("truth"), F.col("pred"), F.col("n")),
         ),
         *agreement,
-        _fixed(spark, 14, "", "## Per-File Performance Summary", "",
-               "| File | Token Accuracy | Entity F1 (Flat) | Entity F1 (BIO) | Total Tokens |",
-               "|------|----------------|------------------|-----------------|-------------|"),
+        _fixed(spark, 14, "", EVALUATION_FILES, "",
+               FILES_HEAD,
+               FILES_RULE),
         _lines(
             per_file,
             15,
