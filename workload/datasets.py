@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemark.operators import datasets
+from pagemark.schemas import resolve_page_id
 from workload.views import read
 
 QUERIES, ORACLE = {}, {}
@@ -145,3 +146,33 @@ def preview(spark, sf):
 
 QUERIES["preview"] = preview
 ORACLE["preview"] = "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 10"
+
+
+def resolved_ids(spark, sf):
+    """A page list whose id column has the older name."""
+    listed = read(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("case_id"), F.col("o_orderkey").cast("string").alias("image_id")
+    )
+    return resolve_page_id(listed).select("case_id", "page_id")
+
+
+QUERIES["resolved_ids"] = resolved_ids
+ORACLE["resolved_ids"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS case_id, CAST(o_orderkey AS VARCHAR) AS page_id FROM orders"""
+
+
+def concatenated(spark, sf):
+    """Frames of several sources in one table, columns by name, gaps NULL."""
+    docs = read(spark, sf, "documents").select(
+        "doc_id", F.lit("documents").alias("file"), F.length("text").cast("bigint").alias("size")
+    )
+    pages = read(spark, sf, "pages").select(
+        "url", F.lit("pages").alias("file"), F.col("page_id").alias("doc_id")
+    )
+    return docs.unionByName(pages, allowMissingColumns=True)
+
+
+QUERIES["concatenated"] = concatenated
+ORACLE["concatenated"] = """
+SELECT doc_id, 'documents' AS file, CAST(length(text) AS BIGINT) AS size, NULL::VARCHAR AS url FROM documents
+UNION ALL SELECT page_id, 'pages', NULL, url FROM pages"""
