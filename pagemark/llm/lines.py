@@ -110,8 +110,14 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     """
     band = 2 * edits + 1
     full = (1 << band) - 1
-    chars = F.regexp_extract_all(a, F.lit("(?s)."), F.lit(0))
-    other = F.regexp_extract_all(b, F.lit("(?s)."), F.lit(0))
+    chars, other = (F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)) for c in (a, b))
+    # beside every character of `a`, those of `b` on all diagonals of the band
+    gap = F.lit(None).cast("string")
+    diagonals = [
+        F.concat(F.array_repeat(gap, -d), other) if d < 0 else F.slice(other, d + 1, F.size(other))
+        for d in range(-edits, edits + 1)
+    ]
+    items = F.slice(F.arrays_zip(chars, *diagonals), F.lit(1), F.size(chars))
 
     def insert(vectors: list[Column]) -> list[Column]:
         out = [vectors[0]]
@@ -120,35 +126,34 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
         return out
 
     names = [f"v{e}" for e in range(edits + 1)]
-    start = insert([F.lit(1 << edits)] + [F.lit(0)] * edits)
+
+    def state(vectors: list[Column]) -> Column:
+        return F.struct(*[v.alias(n) for v, n in zip(insert(vectors), names, strict=True)])
 
     def step(acc: Column, item: Column) -> Column:
         same = F.lit(0)
         for d in range(band):
-            equal = F.get(acc.other, item.i + (d - edits)) == item.c
-            same = same.bitwiseOR(F.when(equal, 1 << d).otherwise(0))
+            same = same.bitwiseOR(F.when(item["0"] == item[str(d + 1)], 1 << d).otherwise(0))
         out = [acc[names[0]].bitwiseAND(same)]
         for e in range(1, edits + 1):
             before = acc[names[e - 1]]
             out.append(
                 acc[names[e]].bitwiseAND(same).bitwiseOR(before).bitwiseOR(F.shiftright(before, 1))
             )
-        return F.struct(acc.other.alias("other"), *[v.alias(n) for v, n in zip(insert(out), names, strict=True)])
+        return state(out)
 
-    items = F.transform(chars, lambda c, i: F.struct(c.alias("c"), i.alias("i")))
     last = F.size(other) - F.size(chars) + edits
 
     def finish(acc: Column) -> Column:
         reached = acc[names[0]]
         for n in names[1:]:
             reached = reached.bitwiseOR(acc[n])
-        marks = F.array(*[F.lit(1 << d) for d in range(band)])
-        return reached.bitwiseAND(F.get(marks, last)) != 0
+        return reached
 
-    found = F.aggregate(
-        items, F.struct(other.alias("other"), *[v.alias(n) for v, n in zip(start, names, strict=True)]), step, finish
-    )
-    return F.when(F.abs(F.size(other) - F.size(chars)) <= edits, found).otherwise(F.lit(False))
+    reached = F.aggregate(items, state([F.lit(1 << edits)] + [F.lit(0)] * edits), step, finish)
+    marks = F.array(*[F.lit(1 << d) for d in range(band)])
+    near = reached.bitwiseAND(F.get(marks, last)) != 0
+    return F.when(F.abs(F.size(other) - F.size(chars)) <= edits, near).otherwise(F.lit(False))
 
 
 def candidate_pairs(lines: DataFrame, edits: int, near_from: int) -> DataFrame:
