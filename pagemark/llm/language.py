@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 17
 LONGEST_GRAM = 4
 #: Words whose emissions a worker remembers, and words labelled at once.
-REMEMBERED = 400_000
-AT_ONCE = 500_000
+REMEMBERED = 200_000
+AT_ONCE = 150_000
+#: New words whose features are laid out together.
+FEATURED = 10_000
 #: The classifier is fitted on a bounded sample: so many documents of each language, one stretch of
 #: so many characters from each, at a hashed place.
 SAMPLE_PER_LANGUAGE = 800
@@ -202,7 +205,7 @@ class Labeller:
         if new:
             count = len(self.ids)
             self.ids.update(zip(new, range(count, count + len(new)), strict=True))
-            parts = [self.model.emissions(new[i : i + 50_000]) for i in range(0, len(new), 50_000)]
+            parts = [self.model.emissions(new[i : i + FEATURED]) for i in range(0, len(new), FEATURED)]
             self.known = np.concatenate([self.known, *parts])
         return self.known[np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))]
 
@@ -237,7 +240,14 @@ def label_batches(
 ) -> Iterator[pa.RecordBatch]:
     labeller = Labeller(model)
     for batch in batches:
-        named = list(labeller.shares(x.as_py() for x in batch.column("text")))
+        texts = batch.column("text")
+        # texts of like length are labelled together, so few steps run for one long text alone
+        lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+        order = np.argsort(lengths, kind="stable")
+        found = labeller.shares(texts[i].as_py() for i in order.tolist())
+        named = [("", 0.0)] * len(order)
+        for i, pair in zip(order.tolist(), found, strict=True):
+            named[i] = pair
         columns = {
             name: batch.column(name) for name in batch.schema.names if keep_text or name != "text"
         }
