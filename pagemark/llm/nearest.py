@@ -24,9 +24,9 @@ PROJECTIONS = 64
 COLLIDING = 0.8
 VERIFIED = 0.1
 #: First half-width and its growth, in units of the projections' spread.
-FIRST_WIDTH, GROWTH = 0.6, 1.25
+FIRST_WIDTH, GROWTH = 1.0, 1.1
 #: Vectors in a block of the index, and queries that visit it together.
-BLOCK, QUERIES = 16_384, 2_048
+BLOCK, QUERIES = 32_768, 2_048
 
 
 def directions(size: int, count: int, seed: int) -> np.ndarray:
@@ -54,8 +54,13 @@ class Index:
         self.longest = longest
         self.axes = directions(lifted.shape[1], PROJECTIONS, seed)
         placed = lifted @ self.axes
-        self.order = np.argsort(placed, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(placed.T, self.order, axis=1)
+        order = np.argsort(placed, axis=0, kind="stable").T
+        # the sorted arrays lie one behind the other, each lifted above the one before, so one
+        # search finds the borders of all windows
+        self.apart = 4.0 * longest
+        self.lift = np.arange(PROJECTIONS) * self.apart
+        self.sorted = (np.take_along_axis(placed.T, order, axis=1) + self.lift[:, None]).ravel()
+        self.order = order.astype(np.intp).ravel()
         self.spread = longest / math.sqrt(lifted.shape[1])
 
     def candidates(self, query: np.ndarray, wanted: int) -> np.ndarray:
@@ -64,24 +69,24 @@ class Index:
         needed = math.ceil(COLLIDING * PROJECTIONS)
         # scaled to the common length: the same order, and the centre of the windows is meaningful
         centre = np.append(query * (self.longest / np.linalg.norm(query)), 0.0) @ self.axes
-        low = high = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, centre, strict=True)])
+        low = high = np.searchsorted(self.sorted, centre + self.lift)
         counts = np.zeros(n, dtype=np.int64)
         width = FIRST_WIDTH * self.spread
         while True:
-            wider_low = np.array(
-                [np.searchsorted(s, c - width) for s, c in zip(self.sorted, centre, strict=True)]
-            )
-            wider_high = np.array(
-                [np.searchsorted(s, c + width, "right") for s, c in zip(self.sorted, centre, strict=True)]
-            )
+            reach = min(width, 2.0 * self.longest)  # no window leaves its array
+            wider_low = np.searchsorted(self.sorted, centre - reach + self.lift)
+            wider_high = np.searchsorted(self.sorted, centre + reach + self.lift, "right")
+            if reach < width:
+                wider_low, wider_high = np.arange(PROJECTIONS) * n, np.arange(1, PROJECTIONS + 1) * n
             flanks = [
-                o[x:y]
-                for o, a, b, c, d in zip(self.order, wider_low, low, high, wider_high, strict=True)
-                for x, y in ((a, b), (c, d))
-                if y > x
+                self.order[x:y]
+                for x, y in zip(
+                    np.concatenate([wider_low, high]).tolist(),
+                    np.concatenate([low, wider_high]).tolist(),
+                    strict=True,
+                )
             ]
-            if flanks:
-                counts += np.bincount(np.concatenate(flanks), minlength=n)
+            counts += np.bincount(np.concatenate(flanks), minlength=n)
             low, high = wider_low, wider_high
             colliding = np.flatnonzero(counts >= needed)
             if len(colliding) >= wanted:
