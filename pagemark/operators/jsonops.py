@@ -58,7 +58,7 @@ def text_lines(
 def nesting_depth(df: DataFrame, json: str = "json") -> int:
     """How deep the deepest document nests its objects and lists: one number, one pass."""
     # brackets inside strings go with their strings
-    tokens = F.regexp_extract_all(F.col(json), F.lit(r'"(?:[^"\\\\]|\\\\.)*"|[\[\]{}]'), F.lit(0))
+    tokens = F.regexp_extract_all(F.col(json), F.lit(r'"(?:[^"\\]|\\.)*+"|[\[\]{}]'), F.lit(0))
 
     def step(acc: Column, token: Column) -> Column:
         move = F.when(token.isin("[", "{"), 1).when(token.isin("]", "}"), -1).otherwise(0)

@@ -118,6 +118,17 @@ def test_profile_of_any_depth(spark):
     assert "$.a.b.c.d" not in limited
 
 
+@pytest.mark.parametrize(
+    "held", ["C:\\dir\\", '}}}}"x', '\\"}}}}', "]" * 9 + "\\" + '"' * 3, "\\" * 4, "}" * 100_000 + '"']
+)
+def test_depth_is_not_hidden_by_a_string(spark, held):
+    docs = [{"p": held, "a": {"b": {"c": {"d": 1}}}}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "json string")
+    assert jsonops.nesting_depth(df) == 4
+    paths = {r.path: r.kind for r in jsonops.structure_profile(df).collect()}
+    assert paths["$.a.b.c.d"] == "BIGINT" and len(paths) == 6
+
+
 def test_text_lines_of_an_object_take_linear_time(spark):
     count = 50_000
     entries = [{"text": f"t{i}"} for i in range(count)]
