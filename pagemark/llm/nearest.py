@@ -4,7 +4,8 @@ Every vector is projected on M orthogonal random directions, and each projection
 array. A query looks into a window around its own value in every array. Windows grow by a factor, a
 wider window takes in the narrower one, so only its two flanks are read: virtual rehashing. A vector that
 lies in the windows of enough arrays is verified by its exact score; windows grow until enough vectors
-were verified.
+were verified. That takes vectors of nearly equal length, so a block is cut into shells by length, each
+with arrays of its own; shells too short to hold a better one are left out.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ COLLIDING = 0.8
 VERIFIED = 0.1
 #: First half-width and its growth, in units of the projections' spread.
 FIRST_WIDTH, GROWTH = 1.0, 1.1
+#: Longest to shortest vector of a shell; a shell goes on beyond that until it has so many vectors, and
+#: then all of them are verified.
+RATIO, SHELL = 1.1, 1_024
 #: Vectors in a block of the index, and queries that visit it together.
 BLOCK, QUERIES = 32_768, 2_048
 
@@ -41,7 +45,7 @@ def directions(size: int, count: int, seed: int) -> np.ndarray:
 
 
 class Index:
-    """Sorted projections of a block of vectors.
+    """Sorted projections of a shell of vectors.
 
     Inner products become distances by one more component, which gives all vectors the length of the
     longest; queries have a zero there.
@@ -49,9 +53,11 @@ class Index:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, seed: int = 23):
         self.ids, self.vectors = ids, vectors
+        self.longest = longest
+        if len(ids) <= SHELL:
+            return  # all are verified
         rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
         lifted = np.concatenate([vectors, rest[:, None]], axis=1)
-        self.longest = longest
         self.axes = directions(lifted.shape[1], PROJECTIONS, seed)
         placed = lifted @ self.axes
         order = np.argsort(placed, axis=0, kind="stable").T
@@ -65,6 +71,8 @@ class Index:
 
     def candidates(self, query: np.ndarray, wanted: int) -> np.ndarray:
         n = len(self.ids)
+        if n <= SHELL:
+            return np.arange(n)
         wanted = min(wanted, n)
         needed = math.ceil(COLLIDING * PROJECTIONS)
         # scaled to the common length: the same order, and the centre of the windows is meaningful
@@ -102,12 +110,40 @@ class Index:
         return self.ids[found][best], scores[best]
 
 
-def search_block(data: pd.DataFrame, queries: pd.DataFrame, k: int, longest: float) -> pd.DataFrame:
+def shells(ids: np.ndarray, vectors: np.ndarray) -> list[Index]:
+    """The vectors by length, the longest first, in shells of nearly equal or of few ones."""
+    norms = np.linalg.norm(vectors, axis=1)
+    order = np.lexsort((ids, -norms))
+    norms, out, begin = norms[order], [], 0
+    while begin < len(order):
+        narrow = np.searchsorted(-norms, -norms[begin] / RATIO, "right")
+        end = max(int(narrow), begin + SHELL)
+        places = order[begin:end]
+        out.append(Index(ids[places], vectors[places], float(norms[begin])))
+        begin = end
+    return out
+
+
+def search_shells(parts: list[Index], query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    length = np.linalg.norm(query)
+    ids, scores = np.empty(0, dtype=np.int64), np.empty(0)
+    for part in parts:
+        # no product exceeds that of the lengths; a little more for rounding
+        if len(ids) >= k and scores[k - 1] > length * part.longest * (1 + 1e-9):
+            break
+        more, theirs = part.search(query_id, query, k)
+        ids, scores = np.concatenate([ids, more]), np.concatenate([scores, theirs])
+        best = best_of(ids, scores, k)
+        ids, scores = ids[best], scores[best]
+    return ids, scores
+
+
+def search_block(data: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     rows = []
     if len(data) and len(queries):
-        index = Index(data.vec_id.to_numpy(), np.stack(data.vector.to_list()), longest)
+        parts = shells(data.vec_id.to_numpy(), np.stack(data.vector.to_list()))
         for query_id, vector in zip(queries.query_id, queries["query"], strict=True):
-            ids, scores = index.search(query_id, np.asarray(vector), k)
+            ids, scores = search_shells(parts, query_id, np.asarray(vector), k)
             rows.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
     return (
         pd.concat(rows)
@@ -131,7 +167,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     data = usable(vectors)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     data = stored(data.withColumn("norm", norm).where("norm > 0"), "vectors")
-    longest, rows = data.agg(F.max("norm"), F.count("*")).first()
+    rows = data.count()
     queries = data.where(is_query)
     blocks = max(1, math.ceil(rows / BLOCK))
     groups = max(1, math.ceil(queries.count() / QUERIES))
@@ -146,7 +182,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         data.groupBy(*key)
         .cogroup(queries.groupBy(*key))
         .applyInPandas(
-            lambda d, q: search_block(d, q, k, longest), "query_id long, vec_id long, score double"
+            lambda d, q: search_block(d, q, k), "query_id long, vec_id long, score double"
         )
     )
     return ranked(found, k)

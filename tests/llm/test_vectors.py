@@ -123,6 +123,25 @@ def test_approximate_search_of_unequal_lengths(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize(("size", "sigma"), [(64, 0.2), (64, 1.0), (128, 0.5)])
+def test_approximate_search_of_unequal_lengths_in_a_full_block(spark, tmp_path, size, sigma):
+    length = F.exp(F.lit(sigma) * F.randn(size))
+    values = F.array(*[(F.randn(i) * length).cast("float") for i in range(size)])
+    made = spark.range(0, nearest.BLOCK, 1, 1).select(F.col("id").alias("vec_id"), values.alias("embedding"))
+    made.write.parquet(str(tmp_path / "made"))
+    vectors = spark.read.parquet(str(tmp_path / "made"))
+    rows = vectors.toPandas()
+    ids, held = rows.vec_id.to_numpy(), np.stack(rows.embedding.to_list()).astype(float)
+    got = as_lists(nearest.nearest(vectors, F.col("vec_id") % 820 == 0).collect())
+    assert len(got) == 40
+    hits = 0
+    for q, best in got.items():
+        scores = held @ held[ids == q][0]
+        scores[ids == q] = -np.inf
+        hits += len({i for i, _ in best} & set(ids[np.argsort(-scores)[:20]].tolist()))
+    assert hits / (20 * len(got)) >= 0.95
+
+
 def test_approximate_search_odd_rows(spark):
     got = as_lists(nearest.nearest(frame(spark, ODD), F.col("vec_id") % 20 == 0, k=20).collect())
     rest = {i: v for i, v in usable(ODD).items() if (v != 0).any()}
