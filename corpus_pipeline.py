@@ -39,13 +39,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest doc_id.
 
-    Word shingles of five words at a similarity of 0.8. Repeated rows of one doc_id are one document: the
-    smallest text stays. Rows without doc_id stay, as nothing tells them apart.
+    Word shingles of five words at a similarity of 0.8. Of a group's rows with that doc_id the one with the
+    smallest text stays; rows that share a doc_id but are in different groups do not replace each other. Rows
+    without doc_id stay, as nothing tells them apart.
     """
-    groups = stored(jaccard.near_duplicates(docs, width=5, percent=80), "groups")
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
-    known = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
+    key = F.xxhash64("text")
+    # a row is told by its id and its text, so a group is named by the least of its rows
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", key.alias("text_key")))
+    rows = docs.select(row.alias("doc_id"), "text")
+    groups = stored(jaccard.near_duplicates(rows, width=5, percent=80), "groups")
+    keep = groups.where("doc_id.doc_id = component_id.doc_id").select(
+        "doc_id.doc_id", F.col("doc_id.text_key").alias("_key"), F.col("component_id.text_key").alias("_group")
+    )
+    order = Window.partitionBy("doc_id", "_group").orderBy("text", "source", "lang", "n_chars")
+    known = docs.where("doc_id is not null").withColumn("_key", key).join(keep.distinct(), ["doc_id", "_key"])
     known = known.withColumn("_row", F.row_number().over(order)).where("_row = 1").select(docs.columns)
     return known.unionByName(docs.where("doc_id is null"))
 

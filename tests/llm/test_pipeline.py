@@ -65,6 +65,21 @@ def test_stage_near_duplicates(stages):
     assert {r.doc_id for r in after} == {d for d, _, c in want if d == c}
 
 
+def test_near_duplicates_that_share_an_id_with_another_text(spark):
+    copied = "one line of many words that another document has too, and it goes on for a while"
+    own = "some text of its own that no other document holds, whatever the id says about that"
+    more = "zebras and yaks are in the third text, which nobody has ever copied from anyone"
+    rows = [
+        (1, copied), (5, copied + " "), (5, own), (5, more), (5, more), (7, own + " "),
+        (8, ""), (8, "two words"), (None, copied), (None, copied),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert got.columns == COLUMNS
+    want = [(1, copied), (5, own), (5, more), (8, ""), (8, "two words"), (None, copied), (None, copied)]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
+
+
 def test_stage_mixture(stages):
     before, after, _ = stages["mixing"]
     sizes = Counter(r.source for r in before)
