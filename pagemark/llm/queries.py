@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import bpe, chat, jaccard, language, lines, mixing, nearest, topk, toxicity, wordpiece
+from pagemark.llm import bpe, chat, jaccard, language, lines, mixing, nearest, text_queries, topk, toxicity, wordpiece
 from pagemark.llm.common import table
 
 
@@ -223,5 +223,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
-}
-ORACLE = {"op1_line_dedup": OP1, "op2_mixing": OP2, "op3_ngram_jaccard": OP3, "op4_chat_format": OP4, "op7_exact_topk": OP7}
+} | text_queries.QUERIES
+ORACLE = {
+    "op1_line_dedup": OP1,
+    "op2_mixing": OP2,
+    "op3_ngram_jaccard": OP3,
+    "op4_chat_format": OP4,
+    "op7_exact_topk": OP7,
+} | text_queries.ORACLE
