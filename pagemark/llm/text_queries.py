@@ -7,10 +7,54 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import merkle
+from pagemark.llm import collocations, merkle
 from pagemark.llm.common import table
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2_000)
+
+
+OP11 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+split as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from split),
+grams as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+  from places, range(1, 6) as t(k) where i + k - 1 <= len(w)),
+totals as (select lang, sum(len(w))::bigint as n from split group by lang),
+counts as (
+  select lang, k, phrase, string_split(phrase, ' ') as w, count(*) as f
+  from grams group by lang, k, phrase having count(*) >= 100),
+inner_parts as (
+  select lang, f, unnest(flatten(list_transform(range(2, k), lambda s:
+    list_transform(range(1, k - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))))) as phrase
+  from counts where k > 2),
+covered as (select lang, phrase, max(f) as within from inner_parts group by lang, phrase),
+kept as (
+  select c.* from counts c left join covered v using (lang, phrase)
+  where k >= 2 and (within is null or 100 * within < 100 * f)),
+cuts as (
+  select lang, phrase, f as a, j, array_to_string(w[1:j], ' ') as one, array_to_string(w[j + 1:k], ' ') as other
+  from kept, range(1, 5) as t(j) where j < k),
+scored as (
+  select c.lang, c.phrase, c.a, c.j, x.f as l, y.f as r, t.n,
+    (1000::hugeint * c.a * t.n) // (x.f::hugeint * y.f) as score
+  from cuts c join counts x on x.lang = c.lang and x.phrase = c.one
+  join counts y on y.lang = c.lang and y.phrase = c.other
+  join totals t on t.lang = c.lang),
+lowest as (
+  select lang, phrase, a, n, unnest(min({'score': score, 'j': j, 'l': l, 'r': r})) from scored group by lang, phrase, a, n),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase)::int as rank from lowest)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked where rank <= 2000
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -108,5 +152,5 @@ def op13_sql() -> str:
     )
 
 
-QUERIES = {"op13_merkle_manifest": op13_merkle_manifest}
-ORACLE = {"op13_merkle_manifest": op13_sql()}
+QUERIES = {"op11_collocations": op11_collocations, "op13_merkle_manifest": op13_merkle_manifest}
+ORACLE = {"op11_collocations": OP11, "op13_merkle_manifest": op13_sql()}
