@@ -24,6 +24,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name` with as many underscores before it as no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def uniform(*parts: Column) -> Column:
     """A number in [0, 1) drawn from the parts' text; equal parts give equal numbers, anywhere."""
     return draw(*parts).cast("double") / F.lit(float(1 << 52))

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemark.llm import collocations, merkle
+from pagemark.llm import collocations, merkle, repeats
 from pagemark.llm.common import table
 
 
@@ -55,6 +55,30 @@ select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked where
 """
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), width=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP12 = r"""
+with split as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+places as (select doc_id, w, unnest(range(1, len(w) - 11)) as i from split),
+windows as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as held from places),
+firsts as (select held, min(doc_id) as first from windows group by held),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 13)) as i
+  from windows join firsts using (held) where first < doc_id),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from split),
+kept as (
+  select k.doc_id, string_agg(k.word, ' ' order by k.i) as left_text, count(*) as n
+  from words k anti join gone g on k.doc_id = g.doc_id and k.i = g.i group by k.doc_id)
+select s.doc_id, len(s.w)::bigint as n_words, (len(s.w) - coalesce(k.n, 0))::bigint as n_removed,
+  sha256(coalesce(k.left_text, '')) as kept_sha256
+from split s left join kept k using (doc_id)
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -152,5 +176,9 @@ def op13_sql() -> str:
     )
 
 
-QUERIES = {"op11_collocations": op11_collocations, "op13_merkle_manifest": op13_merkle_manifest}
-ORACLE = {"op11_collocations": OP11, "op13_merkle_manifest": op13_sql()}
+QUERIES = {
+    "op11_collocations": op11_collocations,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
+}
+ORACLE = {"op11_collocations": OP11, "op12_substring_dedup": OP12, "op13_merkle_manifest": op13_sql()}
