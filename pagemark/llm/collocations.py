@@ -2,15 +2,16 @@
 
 All frequent phrases are counted with suffixes cut after five words, which are never held in one place:
 
-- Vertical partitioning. Words are prefixes of length one. A prefix that occurs more often than a task's
-  budget allows is extended by one word, and so are those that are still too frequent. Prefixes
-  are then put together, in the order of their hashes, into groups whose occurrences fit the budget.
+- Vertical partitioning. Prefixes are pairs of words at first, and those that are frequent are found by
+  counts of their hashes' leading bits. A prefix that occurs more often than a task's budget allows is extended
+  by one word, and so are those that are still too frequent. Prefixes are then put together, in the order of
+  their hashes, into groups whose occurrences fit the budget.
 - Subtrees. Each task sends the suffixes at the places of a group's prefixes, brought down to one entry for
   equal ones. A group sorts its suffixes; equal beginnings of neighbours are the inner nodes of its
   subtree, and the occurrences at the leaves below a node add up to the phrase's count.
 
-Words below the least count can be in no phrase and end a suffix. A fixed number of bits, set by the hashes
-of frequent words and prefixes, tells most others apart; those it lets pass are counted and dropped.
+Words and pairs below the least count can be in no phrase and end a suffix. A fixed number of bits, set by the
+hashes of frequent words and prefixes, tells most others apart; those it lets pass are counted and dropped.
 """
 
 from __future__ import annotations
@@ -26,12 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemark.llm.common import stored
+from pagemark.llm.filters import HashFilter
 
 #: Words of the longest phrase.
 DEPTH = 5
 #: Suffixes of a group, and words of a task's chunk.
 BUDGET, CHUNK = 1 << 21, 1 << 20
-#: Bits that tell frequent words and prefixes, as a power of two: 16 MB.
+#: Pairs of words counted together, before equal ones are brought down.
+PAIRS = 1 << 24
+#: Bits that tell frequent words, and as many that tell frequent prefixes, as a power of two: 16 MB.
 FILTER_BITS = 27
 #: Words whose hashes a task remembers.
 REMEMBERED = 1 << 19
@@ -90,34 +94,22 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Partition:
-    """What tasks know of the vertical partition: the filter, the prefixes too frequent, the groups' borders."""
+    """What tasks know of the vertical partition: frequent words and prefixes, those to extend, the groups' borders."""
 
-    def __init__(self) -> None:
-        self.bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-        #: by length: sorted hashes of prefixes that must be extended
+    def __init__(self, total: int):
+        self.words, self.prefixes = HashFilter(FILTER_BITS), HashFilter(FILTER_BITS)
+        #: pairs are counted by so many leading bits of their hashes
+        self.shift = np.uint64(64 - min(56, max(FILTER_BITS, total.bit_length() + 5)))
+        #: by length: sorted leading bits of prefixes that must be extended
         self.hot: dict[int, np.ndarray] = {}
         self.borders = np.zeros(0, np.uint64)
 
-    def frequent(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> np.uint64(64 - FILTER_BITS)
-        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-    def add(self, words: DataFrame) -> None:
-        """Set the bits of the hashes in column `code`; as many rows come here as the filter has bytes, at most."""
-        at = F.shiftrightunsigned("code", 64 - FILTER_BITS)
-        bytes_ = (
-            words.groupBy(F.shiftrightunsigned(at, 3).alias("at"))
-            .agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(code, {64 - FILTER_BITS}) & 7 as int))")).alias("bits"))
-            .toArrow()
-        )
-        self.bits[bytes_.column("at").to_numpy()] |= bytes_.column("bits").to_numpy().astype(np.uint8)
-
     def is_hot(self, hashes: np.ndarray, length: int) -> np.ndarray:
         hot = self.hot.get(length)
-        if hot is None or not len(hot):
+        if hot is None:
             return np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-        return hot[at] == hashes
+        hashes = hashes >> self.shift
+        return hot[np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)] == hashes
 
 
 class Reader:
@@ -136,7 +128,7 @@ class Reader:
         new = [w for w in set(words) if w not in codes]
         if new:
             found = np.array([word_code(lang, w) for w in new], np.uint64)
-            kept = np.where(self.known.frequent(found), found, np.uint64(_END))
+            kept = np.where(self.known.words.passes(found), found, np.uint64(_END))
             codes.update(zip(new, kept.tolist(), strict=True))
             self.size += len(new)
         out = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
@@ -160,29 +152,83 @@ def chunks(batches: Iterator[pa.RecordBatch], known: Partition) -> Iterator[np.n
         yield np.concatenate(held)
 
 
-def prefixes(codes: np.ndarray, known: Partition, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a prefix of this length begins all of whose shorter ones are hot, and its hash."""
-    at = np.flatnonzero(codes[: len(codes) - DEPTH + 1])
-    hashes = codes[at]
-    for i in range(1, length):
-        on = known.is_hot(hashes, i) & (codes[at + i] != _END)
-        at, hashes = at[on], hashes[on]
-        hashes = extended(hashes, codes[at + i])
-    return at, hashes
+def pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where two frequent words follow each other, and the hashes of the pairs."""
+    at = np.flatnonzero((codes[:-1] != _END) & (codes[1:] != _END))
+    return at, extended(codes[at], codes[at + 1])
+
+
+def prefixes(codes: np.ndarray, known: Partition, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Length, places and hashes of prefixes all of whose shorter ones are hot, and how many words go on from there.
+
+    A suffix goes on as long as its neighbouring words are frequent pairs.
+    """
+    at, hashes = pairs(codes)
+    on = known.prefixes.passes(hashes)
+    at, hashes = at[on], hashes[on]
+    follows = np.zeros(len(codes), np.uint8)
+    follows[at] = 1
+    reach = follows[at] + np.uint8(1)
+    for i in range(1, DEPTH - 1):
+        reach += (follows[at + i] == 1) & (reach == i + 1)
+    for length in range(2, longest + 1):
+        yield length, at, hashes, reach
+        if length not in known.hot:
+            return
+        on = known.is_hot(hashes, length) & (reach > length)
+        at, hashes, reach = at[on], hashes[on], reach[on]
+        hashes = extended(hashes, codes[at + length])
+
+
+def pair_blocks(batches: Iterator[pa.RecordBatch], known: Partition, part_bits: int) -> Iterator[pa.RecordBatch]:
+    """part, block: how often the leading bits of a pair's hash occur in a chunk."""
+    for codes in chunks(batches, known):
+        found, n = np.unique(pairs(codes)[1] >> known.shift, return_counts=True)
+        parts = found >> (np.uint64(64 - part_bits) - known.shift)
+        edges = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else []
+        out, blocks = [], []
+        for x, y in zip(edges, np.append(edges[1:], len(parts)), strict=True):
+            # neighbours lie close together
+            data = np.diff(found[x:y], prepend=np.uint64(0)).tobytes() + n[x:y].astype(np.uint32).tobytes()
+            out.append(int(parts[x]))
+            blocks.append(int(y - x).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(blocks, pa.binary())], names=["part", "block"])
+
+
+def frequent_pairs(group: pd.DataFrame, shift: int, least: int) -> pd.DataFrame:
+    """code (leading bits in place), n of the pairs of one range with `least` occurrences or more."""
+    found, counts = [], []
+    for block in group.block:
+        rows = int.from_bytes(block[:8], "little")
+        data = pa.decompress(block[8:], 12 * rows, codec="zstd", asbytes=True)
+        found.append(np.cumsum(np.frombuffer(data, np.uint64, rows), dtype=np.uint64))
+        counts.append(np.frombuffer(data, np.uint32, rows, 8 * rows))
+    found, place = np.unique(np.concatenate(found), return_inverse=True)
+    n = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
+    on = n >= least
+    return pd.DataFrame({"code": (found[on] << np.uint64(shift)).view(np.int64), "n": n[on]})
 
 
 def count_extensions(batches: Iterator[pa.RecordBatch], known: Partition, length: int) -> Iterator[pa.RecordBatch]:
-    """code (the hash), phrase, n of all prefixes of this length that extend a hot one."""
+    """code (the hash), phrase, n of the prefixes of this length that extend a hot one.
+
+    Pairs, which are only known by the leading bits, are counted with those of three words.
+    """
     for codes in chunks(batches, known):
-        at, hashes = prefixes(codes, known, length)
-        found, first, n = np.unique(hashes, return_index=True, return_counts=True)
-        words = codes[at[first][:, None] + np.arange(length)]
-        flat = pa.array(words.ravel().view(np.int64))
-        offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * length)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.ListArray.from_arrays(offsets, flat), pa.array(n)],
-            names=["code", "phrase", "n"],
-        )
+        for size, at, hashes, _ in prefixes(codes, known, length):
+            if size < length:
+                if length > 3:
+                    continue
+                on = known.is_hot(hashes, 2)
+                at, hashes = at[on], hashes[on]
+            found, first, n = np.unique(hashes, return_index=True, return_counts=True)
+            words = codes[at[first][:, None] + np.arange(size)]
+            flat = pa.array(words.ravel().view(np.int64))
+            offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.ListArray.from_arrays(offsets, flat), pa.array(n)],
+                names=["code", "phrase", "n"],
+            )
 
 
 def packed(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,22 +247,21 @@ def suffix_blocks(batches: Iterator[pa.RecordBatch], known: Partition) -> Iterat
         dense = dense.astype(np.uint32)
         if names[0] != _END:
             names, dense = np.concatenate([[np.uint64(_END)], names]), dense + np.uint32(1)
-        at, keys, lengths = [], [], []
-        for length in range(1, DEPTH):
-            here, hashes = prefixes(codes, known, length)
-            # a suffix of no more words than its prefix holds nothing new
-            on = (codes[here + length] != _END) & ~known.is_hot(hashes, length) & known.frequent(hashes)
+        at, keys, lengths, reach = [], [], [], []
+        for length, here, hashes, words in prefixes(codes, known, DEPTH):
+            on = ~known.is_hot(hashes, length)
+            if length > 2:
+                # these are counted, and a suffix of no more words holds nothing new
+                on &= (words > length) & known.prefixes.passes(hashes)
             at.append(here[on])
             keys.append(hashes[on])
-            lengths.append(np.full(int(on.sum()), length, np.uint8))
-            if length not in known.hot:
-                break
-        at, keys, lengths = np.concatenate(at), np.concatenate(keys), np.concatenate(lengths)
+            reach.append(words[on])
+            lengths.append(np.full(int(on.sum()), 1 if length == 2 else length, np.uint8))
+        at, keys, lengths, reach = (np.concatenate(x) for x in (at, keys, lengths, reach))
         if not len(at):
             continue
         words = dense[at[:, None] + np.arange(DEPTH)]
-        ended = np.logical_or.accumulate(words == 0, axis=1)
-        words[ended] = 0
+        words[np.arange(DEPTH) >= reach[:, None]] = 0
         part = np.searchsorted(known.borders, keys, "right").astype(np.int32)
         high, low = packed(words)
         order = np.lexsort((low, high, part))
@@ -279,41 +324,45 @@ def subtree_counts(group: pd.DataFrame, least: int) -> pd.DataFrame:
     return pd.DataFrame({"phrase": pd.Series(phrases, dtype=object), "n": np.array(counts, np.int64)})
 
 
-def partition(
-    texts: DataFrame, words: DataFrame, total: int, least: int, budget: int
-) -> tuple[Partition, list[DataFrame]]:
-    """The vertical partition, and the counted phrases of two words and more that it needed."""
-    known, counted = Partition(), []
-    level = words.select("code", "n")
+def partition(texts: DataFrame, words: DataFrame, total: int, least: int, budget: int) -> tuple[Partition, list[DataFrame]]:
+    """The vertical partition, and the counted phrases that it needed."""
+    known, counted, sums = Partition(total), [], Counter()
+    known.words.add(words, "code")
+    context = texts.sparkSession.sparkContext
     # so many ranges of hashes that a range holds a small part of the budget
-    shift = max(1, 64 - max(1, (16 * total // budget).bit_length()))
-    sums = Counter()
-    for length in range(1, DEPTH + 1):
-        known.add(level)
+    ranges = min(64 - int(known.shift), max(1, (16 * total // budget).bit_length()))
+    part_bits = min(ranges, max(1, (total // PAIRS).bit_length()))
+    ship = context.broadcast(known)
+    blocks = texts.mapInArrow(lambda b: pair_blocks(b, ship.value, part_bits), "part long, block binary")
+    shift = int(known.shift)
+    level = blocks.groupBy("part").applyInPandas(lambda g: frequent_pairs(g, shift, least), "code long, n long")
+    level = stored(level, "pairs")
+    for length in range(2, DEPTH + 1):
+        known.prefixes.add(level, "code")
         hot = level.where(F.col("n") > budget).select("code").toArrow().column("code").to_numpy()
         rows = (
             level.where(F.col("n") <= budget)
-            .groupBy(F.shiftrightunsigned("code", shift).alias("range"))
+            .groupBy(F.shiftrightunsigned("code", 64 - ranges).alias("range"))
             .agg(F.sum("n").alias("n"))
             .toArrow()
         )
-        sums.update(dict(zip(rows.column("range").to_pylist(), rows.column("n").to_pylist(), strict=True)))
-        if not len(hot):
-            break
-        known.hot[length] = np.sort(hot.view(np.uint64))
-        if length == DEPTH:
+        for at, n in zip(rows.column("range").to_pylist(), rows.column("n").to_pylist(), strict=True):
+            sums[at] += n
+        if not len(hot) or length == DEPTH:
             break
-        ship = texts.sparkSession.sparkContext.broadcast(known)
+        known.hot[length] = np.unique(hot.view(np.uint64) >> known.shift)
+        now = context.broadcast(known)
         longer = texts.mapInArrow(
-            lambda b, s=ship, n=length + 1: count_extensions(b, s.value, n), "code long, phrase array<long>, n long"
+            lambda b, s=now, n=length + 1: count_extensions(b, s.value, n), "code long, phrase array<long>, n long"
         )
         longer = longer.groupBy("code", "phrase").agg(F.sum("n").alias("n"))
-        level = stored(longer.where(F.col("n") >= least), "extensions")
-        counted.append(level.select("phrase", "n"))
+        longer = stored(longer.where(F.col("n") >= least), "extensions")
+        counted.append(longer.select("phrase", "n"))
+        level = longer.where(F.size("phrase") == length + 1).select("code", "n")
     borders, held = [], 0
     for at, n in sorted(sums.items()):
         if held and held + n > budget:
-            borders.append(at << shift)
+            borders.append(at << 64 - ranges)
             held = 0
         held += n
     known.borders = np.array(borders, np.uint64)
