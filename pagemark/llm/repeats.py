@@ -33,8 +33,8 @@ RUN = 5
 CHUNK, TOGETHER = 1 << 19, 1 << 21
 #: Bits of the filters, as powers of two: 32 MB at most, and so many for each member while there is room.
 MOST_BITS, SPARE_BITS = 28, 5
-#: What may be broadcast: ends of paths (some 40 bytes each), bytes of spans.
-BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: Ends of paths that may be broadcast, at some 40 bytes each.
+BROADCAST_ROWS = 1_000_000
 _LAST = (1 << 63) - 1
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -439,9 +439,8 @@ def dedup_passages(docs: DataFrame, width: int = 13) -> DataFrame:
     key, held = free_name(docs, "key"), free_name(docs, "spans")
     short_spans = F.transform("spans", lambda s: F.struct(s.start, s.n_words))
     spans = stored(repeated_spans(docs, width).select(F.col("row_key").alias(key), short_spans.alias(held)), "spans")
-    rows, total = spans.agg(F.count("*"), F.sum(F.size(held))).first()
-    if 32 * (rows + (total or 0)) <= BROADCAST_BYTES:
-        spans = F.broadcast(spans)
+    # spans are one row per key; hashed by task, so that the texts need not be sorted
+    spans = spans.hint("shuffle_hash")
     found = docs.withColumn(key, row_key(docs)).join(spans, key, "left").drop(key)
     fields = [StructField("text", StringType()) if f.name == "text" else f for f in docs.schema.fields]
     schema = StructType(fields).add("n_words", LongType()).add("n_removed", LongType())
