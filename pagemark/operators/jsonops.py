@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemark.functions.text import shorten
+from pagemark.session import written
 
 
 def parsed(json="json") -> Column:
@@ -70,53 +73,90 @@ def nesting_depth(df: DataFrame, json: str = "json") -> int:
     return df.agg(F.max(deepest)).first()[0] or 0
 
 
+# Levels that are opened in one pass over what is still open.
+LEVELS = 8
+
+
+def _below(levels: int) -> list[Column]:
+    """The nodes (path, v) of each level under the row's own node, from that node itself on."""
+    level = F.array(F.struct(F.col("path"), F.col("v")))
+    out = [level]
+    for _ in range(levels):
+        level = F.flatten(F.transform(level, _children))
+        out.append(level)
+    return out
+
+
+def _described(last: bool) -> Callable[[Column], Column]:
+    """What the profile keeps of a node; `last` says whether it lies at the depth limit."""
+    return lambda node: _facts(node, last)
+
+
+def _facts(node: Column, last: bool) -> Column:
+    v = node["v"]
+    items, members = _as_list(v), _as_object(v)
+    is_list, is_object = items.isNotNull(), members.isNotNull()
+    # only values are asked for their schema, as that of a container takes in all it holds
+    kind = F.when(is_list, "ARRAY").when(is_object, "OBJECT").otherwise(
+        F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
+    )
+    size = F.when(is_list, F.size(items)).when(is_object, F.size(members)).cast("bigint")
+    text = F.when(~is_list & ~is_object, F.try_variant_get(v, "$", "string"))
+    return F.struct(
+        node["path"].alias("path"),
+        kind.alias("kind"),
+        size.alias("size"),
+        text.alias("text"),
+        F.lit(last).alias("last"),
+    )
+
+
 def structure_profile(df: DataFrame, json: str = "json", max_depth: int | None = None) -> DataFrame:
-    """(path, kind, values, min_size, max_size, sample) of all documents.
+    """(path, kind, values, min_size, max_size, sample) of all documents, however deep.
+
+    Size counts the entries of an object or list. List items share the path ``name[]``. With ``max_depth``
+    containers at that depth are listed without looking inside, and the column ``unopened`` counts those that
+    hold anything. Documents that do not parse have no rows.
 
-    Size counts the entries of an object or list. List items share the path ``name[]``. Without
-    ``max_depth`` the depth is that of the deepest document. With it, containers at that depth are listed
-    without looking inside, and the column ``unopened`` counts those that hold anything. Documents that
-    do not parse have no rows. Every document is parsed once and leaves as its nodes.
+    A pass opens some levels of every document. Containers that hold more are written to the shared folder
+    with their paths, and the next pass goes on from them alone, until none is left. Shallow documents take
+    one pass, and each node of a deep one is opened once.
     """
     limited = max_depth is not None
-    if not limited:
-        max_depth = nesting_depth(df, json)
-    root = F.array(
-        F.struct(F.lit("$").alias("path"), F.col("_v").alias("v"), F.lit(0).alias("depth"))
+    still_open = (
+        df.select(F.lit("$").alias("path"), parsed(json).alias("v")).filter(F.col("v").isNotNull())
     )
-    level, levels = root, [root]
-    for _ in range(max_depth):
-        level = F.flatten(F.transform(level, _children))
-        levels.append(level)
-    nodes = (
-        df.select(parsed(json).alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .select(F.explode(F.concat(*levels)).alias("_node"))
-        .select("_node.path", F.col("_node.v").alias("v"), "_node.depth")
-    )
-    kind = F.regexp_extract(F.schema_of_variant("v"), r"^(\w+)", 1)
-    size = F.when(F.col("kind") == "ARRAY", F.size(_as_list(F.col("v")))).when(
-        F.col("kind") == "OBJECT", F.size(_as_object(F.col("v")))
-    )
-    value = F.try_variant_get(F.col("v"), "$", "string")
-    leaf = ~F.col("kind").isin("ARRAY", "OBJECT")
-    return (
-        nodes.withColumn("kind", kind)
-        .select(
-            "path",
-            "kind",
-            size.cast("bigint").alias("size"),
-            F.when(leaf, value).alias("text"),
-            (F.col("depth") == max_depth).alias("last"),
-        )
-        .groupBy("path", "kind")
-        .agg(
-            F.count(F.lit(1)).alias("values"),
-            F.min("size").alias("min_size"),
-            F.max("size").alias("max_size"),
-            shorten(F.min("text")).alias("sample"),
-            *([F.count_if(F.col("last") & (F.col("size") > 0)).alias("unopened")] if limited else []),
+    nodes, depth = None, 0
+    while True:
+        levels = min(LEVELS, max_depth - depth) if limited else LEVELS
+        below = _below(levels)
+        ended = limited and depth + levels >= max_depth
+        # the first node of a later pass was described as the last one of the pass before
+        described = [
+            F.transform(level, _described(ended and i == levels))
+            for i, level in enumerate(below)
+            if i > 0 or depth == 0
+        ]
+        if described:
+            found = still_open.select(F.inline(F.concat(*described)))
+            nodes = found if nodes is None else nodes.unionByName(found)
+        depth += levels
+        if ended:
+            break
+        holds = F.filter(
+            below[-1],
+            lambda n: (F.size(F.coalesce(_as_list(n["v"]), F.array().cast("array<variant>"))) > 0)
+            | (F.size(F.coalesce(F.map_keys(_as_object(n["v"])), F.array().cast("array<string>"))) > 0),
         )
+        still_open = written(still_open.select(F.inline(holds)), "json_open")
+        if still_open.isEmpty():
+            break
+    return nodes.groupBy("path", "kind").agg(
+        F.count(F.lit(1)).alias("values"),
+        F.min("size").alias("min_size"),
+        F.max("size").alias("max_size"),
+        shorten(F.min("text")).alias("sample"),
+        *([F.count_if(F.col("last") & (F.col("size") > 0)).alias("unopened")] if limited else []),
     )
 
 
@@ -132,8 +172,7 @@ def _children(node: Column) -> Column:
     """The entries of an object or list node with their paths; nothing for a value."""
 
     def entry(suffix: Column, v: Column) -> Column:
-        path = F.concat(node["path"], suffix)
-        return F.struct(path.alias("path"), v.alias("v"), (node["depth"] + 1).alias("depth"))
+        return F.struct(F.concat(node["path"], suffix).alias("path"), v.alias("v"))
 
     items = F.transform(_as_list(node["v"]), lambda e: entry(F.lit("[]"), e))
     members = F.transform(

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from pagemark.functions.labels import decode, flat_label, strip_bio
 from pagemark.functions.text import is_blank, whole_number
-from pagemark.operators.ordering import indexed, with_previous
+from pagemark.operators.ordering import BLOCK_BITS, indexed, with_previous
 from pagemark.schemas import ANNOTATORS, annotator_column
 
 
@@ -47,12 +47,20 @@ def decode_by_table(
 
 
 def flat_to_bio(
-    df: DataFrame, keys: list[str], pos: str, label: str, out: str, bits: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    pos: str,
+    label: str,
+    out: str,
+    bits: int = BLOCK_BITS,
+    keep_block: bool = False,
 ) -> DataFrame:
-    """BIO tags of flat labels: a label equal to the previous one of its document continues it."""
+    """BIO tags of flat labels: a label equal to the previous one of its document continues it.
+
+    ``keep_block`` leaves the column by which a step on the same blocks needs no exchange.
+    """
     flat = df.withColumn("_flat", flat_label(label))
-    extra = {} if bits is None else {"bits": bits}
-    tagged = with_previous(flat, keys, pos, {"_before": "_flat"}, **extra)
+    tagged = with_previous(flat, keys, pos, {"_before": "_flat"}, bits, keep_block)
     tag = (
         F.when(F.col("_flat") == "O", F.lit("O"))
         .when(F.col("_flat") == F.col("_before"), F.concat(F.lit("I-"), "_flat"))
@@ -68,12 +76,14 @@ def with_evaluation_labels(
     keys: list[str] = ("file",),
     pos: str = "pos",
     bio: bool = True,
+    bits: int = BLOCK_BITS,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Add ground_truth_flat and pred_flat and, with ``bio``, ground_truth_bio and pred_bio.
 
     A missing truth stays blank in flat mode, where such rows are left out, and counts as `O` in
     BIO mode. A prediction that was never decoded and is missing is `O` in flat mode and left out
-    in BIO mode. These rules set the denominators of both modes.
+    in BIO mode. These rules set the denominators of both modes. ``keep_block`` is handed to `flat_to_bio`.
     """
     truth = annotator_column(annotator)
     if labels:
@@ -81,7 +91,7 @@ def with_evaluation_labels(
     out = df.withColumn("ground_truth_flat", F.col(truth)).withColumn("pred_flat", strip_bio("pred"))
     if not bio:
         return out
-    return flat_to_bio(out, list(keys), pos, truth, "ground_truth_bio").withColumn(
+    return flat_to_bio(out, list(keys), pos, truth, "ground_truth_bio", bits, keep_block).withColumn(
         "pred_bio", F.col("pred")
     )
 

@@ -92,14 +92,26 @@ def with_earlier(
     )
 
 
+def _cut(df: DataFrame, pos: str, bits: int) -> DataFrame:
+    """`df` with its `_block`; one that a step before has left is taken, and with it its exchange."""
+    return df if "_block" in df.columns else df.withColumn("_block", block(pos, bits))
+
+
 def with_previous(
-    df: DataFrame, keys: list[str], pos: str, values: dict[str, str], bits: int = BLOCK_BITS
+    df: DataFrame,
+    keys: list[str],
+    pos: str,
+    values: dict[str, str],
+    bits: int = BLOCK_BITS,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Add the value of the previous row of the document: ``{new column: source column}``.
 
-    ``pos`` orders a document and is unique in it. NULL where there is no previous row.
+    ``pos`` orders a document and is unique in it. NULL where there is no previous row. ``keep_block``
+    leaves `_block` in place, so that a step on blocks of the same size needs no exchange.
     """
-    cut = df.withColumn("_block", block(pos, bits))
+    cut = _cut(df, pos, bits)
+    columns = [c for c in df.columns if c != "_block"] + (["_block"] if keep_block else [])
     sources = list(dict.fromkeys(values.values()))
     last = cut.groupBy(*keys, "_block").agg(
         F.max_by(F.struct(*sources), F.col(pos)).alias("_last")
@@ -112,13 +124,13 @@ def with_previous(
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
     # one select, so that all window functions share one window operator
     near = joined.select(
-        *df.columns,
+        *columns,
         "_carry",
         (F.row_number().over(inside) == 1).alias("_first"),
         *[F.lag(s).over(inside).alias(f"_lag_{s}") for s in sources],
     )
     return near.select(
-        *df.columns,
+        *columns,
         *[
             F.when(F.col("_first"), F.col(f"_carry.{s}")).otherwise(F.col(f"_lag_{s}")).alias(new)
             for new, s in values.items()
@@ -126,6 +138,85 @@ def with_previous(
     )
 
 
+def _begins(tag: str, before: str) -> Column:
+    """Whether a span begins at a row: at a ``B-`` tag, at a change of type, and after ``O``."""
+    kind = bio_type(tag)
+    return kind.isNotNull() & (F.col(tag).startswith("B-") | ~kind.eqNullSafe(bio_type(before)))
+
+
+def with_open_spans(blocks: DataFrame, keys: list[str], tags: list[str], bits: int) -> DataFrame:
+    """Add to block summaries, per tag, whether the head opens a span, and where the last one before began.
+
+    A summary has, per tag, its first and last tag and the last begin behind its first row; that is all
+    a row of blocks needs, too. So blocks are put together to summaries of the same form, up to 2^bits at
+    once, these are folded along the document, and what runs into them goes back to their blocks.
+    """
+    inside = Window.partitionBy(*keys, "_upper").orderBy("_block")
+    across = Window.partitionBy(*keys).orderBy("_upper")
+    all_before = (Window.unboundedPreceding, -1)
+    near = blocks.withColumn("_upper", F.shiftright("_block", bits)).select(
+        "*",
+        (F.row_number().over(inside) == 1).alias("_opening"),
+        *[F.lag(f"_tail_{t}").over(inside).alias(f"_before_{t}") for t in tags],
+    )
+    # the first block of a row of blocks opens nothing for now
+    near = near.select(
+        "*", *[(~F.col("_opening") & _begins(f"_head_{t}", f"_before_{t}")).alias(f"_begins_{t}") for t in tags]
+    )
+    near = near.select(
+        "*",
+        *[
+            F.coalesce(f"_later_{t}", F.when(F.col(f"_begins_{t}"), F.col("_at"))).alias(f"_last_{t}")
+            for t in tags
+        ],
+    )
+    near = near.select(
+        "*",
+        *[F.max(f"_last_{t}").over(inside.rowsBetween(*all_before)).alias(f"_inner_{t}") for t in tags],
+    )
+    summary = [F.min("_at").alias("_at")]
+    for t in tags:
+        summary += [
+            F.max(F.when(F.col("_opening"), F.col(f"_head_{t}"))).alias(f"_head_{t}"),
+            F.max_by(f"_tail_{t}", "_block").alias(f"_tail_{t}"),
+            F.max(f"_last_{t}").alias(f"_later_{t}"),
+        ]
+    uppers = near.groupBy(*keys, "_upper").agg(*summary)
+    uppers = uppers.select("*", *[F.lag(f"_tail_{t}").over(across).alias(f"_before_{t}") for t in tags])
+    uppers = uppers.select(
+        "*",
+        *[
+            F.when(_begins(f"_head_{t}", f"_before_{t}"), F.col("_at")).alias(f"_first_{t}")
+            for t in tags
+        ],
+    )
+    uppers = uppers.select(
+        *keys,
+        "_upper",
+        *[F.col(f"_first_{t}").alias(f"_outer_first_{t}") for t in tags],
+        *[
+            F.max(F.coalesce(f"_later_{t}", f"_first_{t}")).over(across.rowsBetween(*all_before)).alias(f"_outer_{t}")
+            for t in tags
+        ],
+    )
+    joined = near.join(uppers, [*keys, "_upper"], "left")
+
+    def opens(t: str) -> Column:
+        return F.when(F.col("_opening"), F.col(f"_outer_first_{t}").isNotNull()).otherwise(
+            F.col(f"_begins_{t}")
+        )
+
+    def begun(t: str) -> Column:
+        first = F.when(~F.col("_opening"), F.col(f"_outer_first_{t}"))
+        return F.greatest(F.col(f"_inner_{t}"), first, F.col(f"_outer_{t}"))
+
+    return joined.select(
+        *blocks.columns,
+        *[opens(t).alias(f"_opens_{t}") for t in tags],
+        *[begun(t).alias(f"_from_{t}") for t in tags],
+    )
+
+
 def with_span_starts(
     df: DataFrame, keys: list[str], pos: str, tags: list[str], bits: int = BLOCK_BITS
 ) -> DataFrame:
@@ -136,25 +227,19 @@ def with_span_starts(
     """
     inside = Window.partitionBy(*keys, "_block").orderBy(pos)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def begins(tag: str, before: str) -> Column:
-        kind = bio_type(tag)
-        return kind.isNotNull() & (
-            F.col(tag).startswith("B-") | ~kind.eqNullSafe(bio_type(before))
-        )
-
-    neighbours = df.withColumn("_block", block(pos, bits)).select(
-        *df.columns,
+    columns = [c for c in df.columns if c != "_block"]
+    neighbours = _cut(df, pos, bits).select(
+        *columns,
         "_block",
         (F.row_number().over(inside) == 1).alias("_first"),
         *[F.lag(t).over(inside).alias(f"_prev_{t}") for t in tags],
     )
     # the first row of a block counts as a start for now; the carried type settles it below
     cut = neighbours.select(
-        *df.columns,
+        *columns,
         "_block",
         "_first",
-        *[F.when(begins(t, f"_prev_{t}"), F.col(pos)).alias(f"_begin_{t}") for t in tags],
+        *[F.when(_begins(t, f"_prev_{t}"), F.col(pos)).alias(f"_begin_{t}") for t in tags],
     )
     summary = [F.min(pos).alias("_at")]
     for t in tags:
@@ -164,14 +249,7 @@ def with_span_starts(
             F.max_by(t, pos).alias(f"_tail_{t}"),
         ]
     blocks = cut.groupBy(*keys, "_block").agg(*summary)
-    blocks = with_earlier(blocks, keys, {f"_before_{t}": (f"_tail_{t}", "last") for t in tags}, bits)
-    blocks = blocks.select("*", *[begins(f"_head_{t}", f"_before_{t}").alias(f"_opens_{t}") for t in tags])
-    last = {
-        t: F.coalesce(f"_later_{t}", F.when(F.col(f"_opens_{t}"), F.col("_at"))) for t in tags
-    }
-    # where the span running into a block began, if the block does not open with its own
-    blocks = blocks.select("*", *[last[t].alias(f"_last_{t}") for t in tags])
-    blocks = with_earlier(blocks, keys, {f"_from_{t}": (f"_last_{t}", "max") for t in tags}, bits)
+    blocks = with_open_spans(blocks, keys, tags, bits)
     # only blocks whose head continues a span need a correction
     continues = reduce(
         lambda a, b: a | b,
@@ -187,7 +265,7 @@ def with_span_starts(
         return F.when(F.col("_first") & ~opens, F.col(f"_from_{t}")).otherwise(F.col(f"_begin_{t}"))
 
     return joined.select(
-        *df.columns,
+        *columns,
         *[
             F.when(bio_type(t).isNotNull(), F.max(begin(t)).over(running)).alias(f"{t}_start")
             for t in tags
@@ -211,6 +289,33 @@ def with_row_number(
     ).select(*df.columns, out)
 
 
+def counted_before(counts: DataFrame, path: list[list[str]], n: str, out: str) -> DataFrame:
+    """Add to counted cells how many rows the cells before them in their group hold.
+
+    ``path`` leads from the group down to the cell: its first columns name the group, and each further
+    list cuts what the lists before it name, in the order of its columns. On every level a window adds up
+    the cells beside each other, and their totals go on to the level above. So no window sees more cells
+    than one level cuts.
+    """
+    *outer, level = path
+    parts = [c for columns in outer for c in columns]
+    earlier = (
+        Window.partitionBy(*parts).orderBy(*level).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    near = counts.withColumn(out, F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+    if len(outer) == 1:
+        return near
+    totals = counts.groupBy(*parts).agg(F.sum(n).alias(n))
+    higher = f"{out}_{len(outer)}"
+    above = counted_before(totals, outer, n, higher).select(*parts, higher)
+    joined = near.join(above, parts, "left")
+    return joined.withColumn(out, F.col(out) + F.col(higher)).drop(higher)
+
+
+# Values of a leading column that share a band.
+BAND_BITS = 8
+
+
 def ranked(
     df: DataFrame,
     keys: list[str],
@@ -221,32 +326,29 @@ def ranked(
 ) -> DataFrame:
     """Number the rows of a group by integer columns ``leading`` (NULL last), then by ``pos``.
 
-    A group is numbered in strips: the rows that agree on the first leading column. Rows without any
-    leading value are cut into blocks of positions instead. Strips are counted, the counts before a
-    strip are its offset, and a window numbers the rows inside it. One exchange by (group, strip)
-    serves the counts, the join and the window, and no task sees a whole group.
+    A group is cut on several levels: into bands of the first leading column, these by its values and
+    bands of the next one, and so on; rows with the same values of all leading columns are cut into blocks of
+    2^bits positions. Rows are numbered inside such a cell, and the counts of the cells before, folded level by
+    level, are added. One exchange by cell serves the counts, the join and the window. No task sees a
+    whole group, nor all rows that agree in the first column, or in all of them.
     """
     last = (1 << 62) - 1
-    placed = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in leading])
-    strip = {
-        # equality of structs takes NULL keys as equal
-        "_group": F.struct(*keys),
-        "_strip": F.coalesce(F.col(leading[0]).cast("bigint"), F.lit(last)),
-        "_block": F.when(placed, F.lit(-last)).otherwise(block(pos, bits)),
-    }
-    parts = list(strip)
-    cut = df.withColumns(strip).repartition(*parts)
-    earlier = (
-        Window.partitionBy("_group")
-        .orderBy("_strip", "_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counts = cut.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*parts, F.sum("_n").over(earlier).alias("_offset"))
-    order = [F.col(c).asc_nulls_last() for c in leading[1:]] + [F.col(pos).asc()]
-    inside = Window.partitionBy(*parts).orderBy(*order)
-    number = F.row_number().over(inside).cast("bigint") + F.coalesce("_offset", F.lit(0))
-    return cut.join(offsets, parts, "left").select(*df.columns, number.alias(out))
+    band = min(bits, BAND_BITS)
+    values = {f"_value{i}": F.coalesce(F.col(c).cast("bigint"), F.lit(last)) for i, c in enumerate(leading)}
+    bands = {f"_band{i}": F.shiftright(f"_value{i}", band) for i in range(len(leading))}
+    # equality of structs takes NULL keys as equal
+    cut = df.withColumns({"_group": F.struct(*keys), **values, "_block": block(pos, bits)})
+    cut = cut.withColumns(bands)
+    path = [["_group"], ["_band0"]]
+    for i in range(len(leading)):
+        path.append([f"_value{i}", f"_band{i + 1}" if i + 1 < len(leading) else "_block"])
+    cell = [c for level in path for c in level]
+    cut = cut.repartition(*cell)
+    counts = cut.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counted_before(counts, path, "_n", "_offset").select(*cell, "_offset")
+    number = F.row_number().over(Window.partitionBy(*cell).orderBy(pos)).cast("bigint")
+    numbered = cut.join(offsets, cell, "left")
+    return numbered.select(*df.columns, (number + F.col("_offset")).alias(out))
 
 
 def range_borders(df: DataFrame, column: str, parts: int, per_part: int = 32) -> list:

@@ -5,49 +5,91 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELL = 128
+# Width and height of the finest cells, as powers of two, and the step from one level to the next.
+CELL_BITS, STEP_BITS = 7, 2
 _BOX = ["x1", "y1", "x2", "y2"]
+# The level of width and that of height on which boxes of two classes meet.
+_WIDE = "greatest(shiftright(_one, 4), shiftright(_two, 4))"
+_HIGH = "greatest(_one & 15, _two & 15)"
 
 
-def _cell(c):
-    return F.floor(c / CELL).cast("int")
+def _level(size):
+    """A level whose cells are at least that wide, the finest or, by rounding, the next one."""
+    steps = F.log2(size / (1 << CELL_BITS)) / STEP_BITS
+    return F.greatest(F.ceil(steps), F.lit(0)).cast("int")
+
+
+def _cell(column: str, level: str):
+    return F.expr(f"shiftright(cast({column} as bigint), {CELL_BITS} + {STEP_BITS} * {level})")
+
+
+def box_cells(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """Where boxes of a page meet: those of class `_one` and of class `_two` with the same keys, `_cx` and `_cy`.
+
+    A box has a level for its width and one for its height, which make its class. Boxes of two classes meet in
+    the cells of the wider and of the higher level, of which a box touches four at most. So a box is filed once
+    per class its page has, whatever its size, and boxes of like classes only meet where they are near.
+    """
+    long = [F.col(c).cast("bigint") for c in _BOX]
+    leveled = boxes.withColumn("_lx", _level(long[2] - long[0])).withColumn("_ly", _level(long[3] - long[1]))
+    classed = leveled.withColumn("_class", F.col("_lx") * 16 + F.col("_ly"))
+    # asks for all columns of the counted boxes, so that their exchange serves here, too
+    counted = F.when(F.col("n") > 0, F.col("_class"))
+    present = classed.groupBy(*keys).agg(F.collect_set(counted).alias("_classes"))
+    held = classed.join(present, keys)
+    met = held.withColumn("_other", F.explode("_classes")).withColumns(
+        {"_one": F.least("_class", "_other"), "_two": F.greatest("_class", "_other")}
+    )
+    columns = F.explode(F.sequence(_cell("x1", _WIDE), _cell("x2", _WIDE)))
+    rows = F.explode(F.sequence(_cell("y1", _HIGH), _cell("y2", _HIGH)))
+    cells = met.withColumn("_cx", columns).withColumn("_cy", rows)
+    place = [*keys, "_one", "_two", "_cx", "_cy"]
+    kept = [*place, "_class", *_BOX, "n"]
+    return cells.select(*kept)
 
 
 def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs of overlapping boxes on a page with intersection area and its share of the smaller box.
 
     Words with the same box are counted first and give one row with the number of word pairs. The
-    different boxes of a page meet per cell of a grid, and a pair is taken in the one cell that
-    holds the upper left corner of the intersection: no page is paired as a whole. Boxes without
-    width or height take no part.
+    different boxes of a page meet per cell of a hierarchical grid, and a pair is taken in the one cell
+    that holds the upper left corner of the intersection: no page is paired as a whole, and a wide or high
+    box is not filed in more cells than a small one. Boxes without width or height take no part. The first
+    box of a pair is the one that comes first by y1, x1, y2, x2.
     """
     boxes = (
         tokens.filter((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")))
         .groupBy(*keys, *_BOX)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cells = boxes.withColumn(
-        "cx", F.explode(F.sequence(_cell(F.col("x1")), _cell(F.col("x2"))))
-    ).withColumn("cy", F.explode(F.sequence(_cell(F.col("y1")), _cell(F.col("y2")))))
-    place = [*keys, "cx", "cy"]
+    place = [*keys, "_one", "_two", "_cx", "_cy"]
+    held = ["_class", *_BOX, "n"]
     # dealt once: both sides of the join read the same exchange
-    cells = cells.repartition(*place)
-    left = cells.select(*place, *[F.col(c).alias(f"a_{c}") for c in [*_BOX, "n"]])
-    right = cells.select(*place, *[F.col(c).alias(f"b_{c}") for c in [*_BOX, "n"]])
-    x1 = F.greatest("a_x1", "b_x1")
-    y1 = F.greatest("a_y1", "b_y1")
-    a, b = (F.struct(*[f"{side}_{c}" for c in ("y1", "x1", "y2", "x2")]) for side in "ab")
+    cells = box_cells(boxes, keys).repartition(*place)
+    left = cells.select(*place, *[F.col(c).alias(f"l_{c}") for c in held])
+    right = cells.select(*place, *[F.col(c).alias(f"r_{c}") for c in held])
+    l, r = (F.struct(*[f"{side}_{c}" for c in ("y1", "x1", "y2", "x2")]) for side in "lr")
     meets = (
-        (F.col("a_x1") < F.col("b_x2"))
-        & (F.col("b_x1") < F.col("a_x2"))
-        & (F.col("a_y1") < F.col("b_y2"))
-        & (F.col("b_y1") < F.col("a_y2"))
+        (F.col("l_x1") < F.col("r_x2"))
+        & (F.col("r_x1") < F.col("l_x2"))
+        & (F.col("l_y1") < F.col("r_y2"))
+        & (F.col("r_y1") < F.col("l_y2"))
     )
-    # a box that several words have meets itself
-    taken = (a < b) | ((a == b) & (F.col("a_n") > 1))
-    pairs = left.join(right, place).filter(
-        taken & meets & (F.col("cx") == _cell(x1)) & (F.col("cy") == _cell(y1))
+    # boxes of one class meet in both orders; a box that several words have meets itself
+    taken = (F.col("_one") != F.col("_two")) | (l < r) | ((l == r) & (F.col("l_n") > 1))
+    corner = (F.col("_cx") == _cell("greatest(l_x1, r_x1)", _WIDE)) & (
+        F.col("_cy") == _cell("greatest(l_y1, r_y1)", _HIGH)
     )
+    # said in one comparison of both sides, as filters of either one would part the exchange
+    classes = F.col("l__class") * 256 + F.col("r__class") == F.col("_one") * 256 + F.col("_two")
+    pairs = left.join(right, place).filter(classes & taken & meets & corner)
+    swap = l > r
+    pairs = pairs.select(
+        *keys,
+        *[F.when(swap, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias(f"a_{c}") for c in [*_BOX, "n"]],
+        *[F.when(swap, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(f"b_{c}") for c in [*_BOX, "n"]],
+    )
+    a, b = (F.struct(*[f"{side}_{c}" for c in ("y1", "x1", "y2", "x2")]) for side in "ab")
     n = F.col("a_n")
     found = pairs.select(
         *keys,

@@ -20,7 +20,8 @@ def entity_spans(
     df: DataFrame, keys: list[str], pos: str, tag: str, bits: int = BLOCK_BITS
 ) -> DataFrame:
     """(keys…, entity_type, start, end, tokens): start and end are positions of the document."""
-    starts = with_span_starts(df.select(*keys, pos, tag), keys, pos, [tag], bits)
+    held = ["_block"] if "_block" in df.columns else []
+    starts = with_span_starts(df.select(*keys, pos, tag, *held), keys, pos, [tag], bits)
     inside = starts.filter(F.col(f"{tag}_start").isNotNull())
     return inside.groupBy(
         *keys, bio_type(tag).alias("entity_type"), F.col(f"{tag}_start").alias("start")
@@ -51,8 +52,9 @@ def span_counts(
     span match when type, start and end agree; as one span starts at a position at most, grouping by
     (document, type, start) and comparing the ends replaces the span join.
     """
+    held = ["_block"] if "_block" in df.columns else []
     valid = df.filter(~is_blank(truth) & ~is_blank(pred)).select(
-        *keys, pos, F.col(truth).alias("truth"), F.col(pred).alias("pred")
+        *keys, pos, F.col(truth).alias("truth"), F.col(pred).alias("pred"), *held
     )
     starts = with_span_starts(valid, keys, pos, ["truth", "pred"], bits)
 

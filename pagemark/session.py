@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on. They are applied only where the session has none of its own.
 RUNTIME_CONF = {
@@ -62,3 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="pagemark-checkpoint-")
     context.setCheckpointDir(configured)
     return configured
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` computed once: written below the checkpoint folder, which all executors share, and reread."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,12 +1,13 @@
 """Order-dependent steps against brute force, with blocks and groups far smaller than usual."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagemark.operators.labels import flat_to_bio
-from pagemark.operators.ordering import indexed, ranked, with_previous, with_row_number
+from pagemark.operators.ordering import counted_before, indexed, ranked, with_previous, with_row_number
 from pagemark.operators.sequences import entity_spans, label_transitions, numbered_spans, span_counts, span_scores
 
 TAGS = ["O", "B-A", "I-A", "B-B", "I-B", "X", "I-C"]
@@ -118,6 +119,18 @@ def test_no_window_over_all_blocks_of_a_document(spark):
         assert windows and all("_upper#" in w for w in by_block if "_block#" in w and "pos#" not in w)
 
 
+def test_spans_of_bio_tags_need_one_exchange_of_rows(spark):
+    df = frame(spark, documents(3)).withColumn("pred", F.col("truth"))
+    tagged = flat_to_bio(df, ["doc"], "pos", "truth", "bio", 3, keep_block=True)
+    out = entity_spans(tagged, ["doc"], "pos", "bio", 3)
+    got = {(r.doc, r.entity_type, r.start, r.end, r.tokens) for r in out.collect()}
+    again = entity_spans(tagged.drop("_block"), ["doc"], "pos", "bio", 3).collect()
+    assert got == {(r.doc, r.entity_type, r.start, r.end, r.tokens) for r in again}
+    plan = out._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    by_block = [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(doc#\d+, _block#\d+L?, ", x)]
+    assert len([x for x in by_block if "ENSURE_REQUIREMENTS" in x and "Reused" not in x]) <= 5
+
+
 def test_known_spans(spark):
     tags = ["O", "I-A", "I-A", "B-A", "I-B", "O"]
     df = spark.createDataFrame([("d", i, t) for i, t in enumerate(tags)], "doc string, pos bigint, tag string")
@@ -184,6 +197,45 @@ def test_no_task_sees_a_large_page(spark):
     assert strips.groupBy("page", "y", "b").count().selectExpr("max(count)").first()[0] <= 64
 
 
+def partition_sizes(out):
+    return [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("same_column", [True, False])
+def test_no_task_sees_one_pixel_row_of_a_large_page(spark, same_column):
+    """A third of all rows on one pixel row of a page, and half of these, or all, in one place."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    rows = [("big", 7, 3 if same_column or i % 2 else i, i) for i in range(4000)]
+    rows += [(f"p{i % 40}", i % 90, i % 50, i) for i in range(4000, 12_000)]
+    df = spark.createDataFrame(rows, "page string, y int, x int, pos bigint").repartition(8)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = ranked(df, ["page"], ["y", "x"], "pos", "n", bits=4)
+        sizes = partition_sizes(out)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert max(sizes) <= 4 * sum(sizes) / 16
+    got = sorted((r.n, r.pos) for r in out.filter("page = 'big'").collect())
+    assert got == [(i, r[3]) for i, r in enumerate(sorted(rows[:4000], key=lambda r: r[2:]), 1)]
+
+
+@pytest.mark.parametrize("values", [1, 500])
+def test_no_window_sees_many_cells(spark, values):
+    """Cells of one group, all different in the first column or in the second: each window sees a band of them."""
+    rows = [("big", i % values, i // values, 1) for i in range(2000)]
+    cells = spark.createDataFrame(rows, "g string, a bigint, b bigint, n bigint")
+    cells = cells.selectExpr("*", "shiftright(a, 4) a_band", "shiftright(b, 4) b_band", "0 as block")
+    path = [["g"], ["a_band"], ["a", "b_band"], ["b", "block"]]
+    got = {(r.a, r.b): r.before for r in counted_before(cells, path, "n", "before").collect()}
+    assert got == {k: i for i, k in enumerate(sorted((r[1], r[2]) for r in rows))}
+    for i in range(1, len(path)):
+        outer, level = [c for x in path[:i] for c in x], path[i]
+        seen = cells.select(*outer, *level).distinct().groupBy(*outer).count().selectExpr("max(count)").first()[0]
+        assert seen <= 16 * 125 / 16 + 16, (outer, level, seen)
+
+
 def test_indexed(spark):
     names = [f"page{i:03}.csv" for i in range(137)]
     df = spark.createDataFrame([(n,) for n in names], "file string").repartition(6)

@@ -1,6 +1,7 @@
 """Ids, positions, versions and reports through real files and odd inputs."""
 
 import json
+import re
 import time
 
 import pytest
@@ -118,6 +119,54 @@ def test_profile_of_any_depth(spark):
     assert "$.a.b.c.d" not in limited
 
 
+def plain_profile(docs):
+    """path, kind -> number of values, in plain Python."""
+    found, todo = {}, [("$", d) for d in docs]
+    while todo:
+        path, v = todo.pop()
+        kind = "ARRAY" if isinstance(v, list) else "OBJECT" if isinstance(v, dict) else "STRING" if isinstance(v, str) else "BIGINT"
+        found[path, kind] = found.get((path, kind), 0) + 1
+        if isinstance(v, list):
+            todo += [(path + "[]", x) for x in v]
+        if isinstance(v, dict):
+            todo += [(f"{path}.{k}", x) for k, x in v.items()]
+    return found
+
+
+def nest(depth, width=1):
+    v = "end"
+    for i in range(depth):
+        v = [v, *["side"] * (width - 1)] if i % 3 else {"k": v, **{f"s{j}": j for j in range(width - 1)}}
+    return v
+
+
+@pytest.mark.parametrize("limit", [None, 0, 3, 8, 9, 20])
+def test_profile_beside_plain_python(spark, limit):
+    docs = [nest(d, w) for d, w in ((0, 1), (3, 2), (8, 1), (9, 3), (17, 2), (25, 1))] + [{"a.b": 1, "a": {"b": 2}}, [], {}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "json string")
+    got = {(r.path, r.kind): r["values"] for r in jsonops.structure_profile(df, max_depth=limit).collect()}
+    want = plain_profile(docs)
+    if limit is not None:
+        deep = {k for k, _ in want if len(re.findall(r"\[\]|\.", k)) > limit}
+        want = {k: n for k, n in want.items() if k[0] not in deep}
+    want.pop(("$.a.b", "BIGINT"), None)  # two keys, one path: at two depths
+    got.pop(("$.a.b", "BIGINT"), None)
+    assert got == want
+
+
+def test_very_deep_documents_take_time_in_proportion(spark):
+    def seconds(depth):
+        df = spark.createDataFrame([(json.dumps(nest(depth)),)], "json string")
+        start = time.perf_counter()
+        rows = jsonops.structure_profile(df).collect()
+        assert len(rows) == depth + 1
+        return time.perf_counter() - start
+
+    seconds(20)
+    once = seconds(60)
+    assert seconds(200) < 5 * once + 5
+
+
 @pytest.mark.parametrize(
     "held", ["C:\\dir\\", '}}}}"x', '\\"}}}}', "]" * 9 + "\\" + '"' * 3, "\\" * 4, "}" * 100_000 + '"']
 )

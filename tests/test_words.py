@@ -1,6 +1,7 @@
 """Boxes, collapsing, duplicates, labels and pages on small hand-made tables."""
 
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -202,11 +203,25 @@ def test_kappa_symmetric(spark, rows):
     assert same and a.agreement_count == b.agreement_count
 
 
-@pytest.mark.parametrize("wide", [60, 3000])
-def test_overlaps(spark, wide):
-    rng = random.Random(wide)
+def plain_boxes(rng, wide):
     boxes = [(rng.randrange(wide), rng.randrange(wide), rng.randint(0, 300), rng.randint(0, 40)) for _ in range(60)]
-    boxes = [(x, y, x + w, y + h) for x, y, w, h in boxes] + [(5, 5, 9, 9)] * 3
+    return [(x, y, x + w, y + h) for x, y, w, h in boxes] + [(5, 5, 9, 9)] * 3
+
+
+def boxes_of_all_sizes(rng):
+    """Corners and sides up to 2^31, below zero, at and beside the borders of cells."""
+    out = []
+    for _ in range(70):
+        x, y = (rng.choice([-1, 1]) * rng.choice([rng.randrange(1 << rng.randrange(1, 30)), 1 << rng.randrange(7, 30)]) for _ in "xy")
+        w, h = (min(rng.choice([1 << rng.randrange(30), rng.randrange(1, 1 << rng.randrange(1, 30))]), (1 << 31) - 1 - max(c, 0)) for c in (x, y))
+        out.append((x, y, x + w, y + h))
+    return out + [(-(1 << 30), -(1 << 30), 1 << 30, (1 << 30) - 1)]
+
+
+@pytest.mark.parametrize("wide", [60, 3000, None])
+def test_overlaps(spark, wide):
+    rng = random.Random(wide or 7)
+    boxes = plain_boxes(rng, wide) if wide else boxes_of_all_sizes(rng)
     rows = [(f"p{i % 2}", *b) for i, b in enumerate(boxes)]
     df = spark.createDataFrame(rows, "page_id string, x1 int, y1 int, x2 int, y2 int")
     got = overlap.box_overlaps(df, ["page_id"]).collect()
@@ -226,6 +241,23 @@ def test_overlaps(spark, wide):
     assert found == want
 
 
+def test_a_wide_box_is_filed_in_few_cells(spark):
+    """Boxes of any width are filed four times per class at most, and are met only by boxes near them."""
+    rows = [("p", 0, 20 * i, 400_000, 20 * i + 10) for i in range(3000)]
+    rows += [("p", 100 * (i % 4000), 20 * (i // 20) + 12, 100 * (i % 4000) + 90, 20 * (i // 20) + 18) for i in range(60_000)]
+    rows += [("p", 399_990, 0, 400_010, 60_000), (None, 0, 0, 1 << 30, 5), (None, 7, 2, 9, 1 << 30)]
+    df = spark.createDataFrame(rows, "page_id string, x1 int, y1 int, x2 int, y2 int")
+    boxes = df.groupBy("page_id", "x1", "y1", "x2", "y2").agg(F.count("*").alias("n"))
+    cells = overlap.box_cells(boxes, ["page_id"])
+    assert cells.count() <= 4 * 4 * len(rows)
+    filed = cells.groupBy("page_id", "x1", "y1", "x2", "y2", "_one", "_two").count()
+    assert filed.selectExpr("max(count)").first()[0] <= 4
+    start = time.perf_counter()
+    got = overlap.box_overlaps(df, ["page_id"])
+    assert got.filter("page_id = 'p'").count() == 3000
+    assert time.perf_counter() - start < 30
+
+
 def test_reconciliation(spark):
     def table(rows, cols):
         return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))

@@ -316,7 +316,7 @@ WHERE annotator2_label <> '' AND annotator1_label <> annotator2_label GROUP BY A
 def _case_judged(spark, sf):
     """Documents are cases: long sequences that cross block borders."""
     df = words(spark, sf, case=True).withColumn("pos", F.col("page_no") * 8 + F.col("word_no"))
-    return with_evaluation_labels(df, "annotator1", VOCAB, ["case_id"], "pos")
+    return with_evaluation_labels(df, "annotator1", VOCAB, ["case_id"], "pos", bits=10, keep_block=True)
 
 
 def _spans_sql(tag):
