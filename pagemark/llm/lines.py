@@ -25,30 +25,50 @@ BROADCAST_ROWS = 1_000_000
 _LINE_BITS = 1 << 31
 
 
+def row_place(docs: DataFrame) -> Column:
+    """A decimal that orders rows by doc_id, NULL last, and tells rows of one id by their texts."""
+    text = F.xxhash64("text")
+    known = F.col("doc_id").cast("decimal(20,0)") * F.lit(_LINE_BITS).cast("decimal(10,0)") + text.bitwiseAND(
+        _LINE_BITS - 1
+    ).cast("decimal(10,0)")
+    unknown = F.lit(str(1 << 95)).cast("decimal(30,0)") + text.bitwiseAND((1 << 63) - 1).cast("decimal(20,0)")
+    row = F.when(F.col("doc_id").isNotNull(), known).otherwise(unknown)
+    return (row * F.lit(_LINE_BITS).cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
+def raw_lines(docs: DataFrame) -> DataFrame:
+    """row, line_no, line of every line that is not blank."""
+    found = docs.select(row_place(docs).alias("row"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+    return found.select("row", "line_no", F.trim("raw", F.lit(BLANKS)).alias("line")).where("line <> ''")
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """place, line, h1, h2, size for every line that is not blank.
 
     `place` orders all lines by document and line number, NULL doc_id last, in one decimal.
     """
-    doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
-    found = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return (
-        found.withColumn("line", F.trim("raw", F.lit(BLANKS)))
-        .where("line <> ''")
-        .select(
-            (doc * F.lit(_LINE_BITS).cast("decimal(10,0)") + F.col("line_no")).cast("decimal(38,0)").alias("place"),
-            "line",
-            F.xxhash64("line").alias("h1"),
-            F.xxhash64(F.lit(7), "line").alias("h2"),
-            F.char_length("line").alias("size"),
-        )
+    return raw_lines(docs).select(
+        _place().alias("place"),
+        "line",
+        F.xxhash64("line").alias("h1"),
+        _second_hash().alias("h2"),
+        F.char_length("line").alias("size"),
     )
 
 
+def _place() -> Column:
+    return (F.col("row") + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
+def _second_hash() -> Column:
+    return F.xxhash64(F.lit(7), "line")
+
+
 def letter_counts(line: Column) -> Column:
     total = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
-        held = F.char_length(line) - F.char_length(F.replace(line, F.lit(letter), F.lit("")))
+        # letters are bytes of their own, so the characters need not be counted
+        held = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
         total = total.bitwiseOR(F.shiftleft(held.cast("long").bitwiseAND(255), 8 * i))
     return total
 
@@ -191,16 +211,16 @@ def candidate_pairs(lines: DataFrame, edits: int, near_from: int) -> DataFrame:
 
 def near_lines(docs: DataFrame, edits: int, near_from: int) -> DataFrame:
     """Links between different lines within `edits` edits: h1, h2 of both and their first places."""
-    lines = lines_of(docs)
-    pairs = stored(candidate_pairs(lines, edits, near_from), "line_pairs")
+    pairs = stored(candidate_pairs(lines_of(docs), edits, near_from), "line_pairs")
     chosen = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
+    # all but one hash is worked out for the lines that are chosen
+    found = raw_lines(docs).withColumn("h1", F.xxhash64("line")).join(chosen, "h1", "left_semi")
     texts = stored(
-        lines.where(F.col("size") >= near_from)
-        .join(chosen, "h1", "left_semi")
-        .groupBy("h1", "h2")
-        .agg(F.first("line").alias("line"), F.min("place").alias("place")),
+        found.where(F.char_length("line") >= near_from)
+        .groupBy("h1", _second_hash().alias("h2"))
+        .agg(F.first("line").alias("line"), F.min(_place()).alias("place")),
         "line_texts",
     )
     a = texts.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("line").alias("line_a"), F.col("place").alias("place_a"))
@@ -218,8 +238,8 @@ def dedup_lines(docs: DataFrame, edits: int = 1, near_from: int = NEAR_FROM) ->
     doc_id and line number, a line goes if an earlier line is equal to it, or at most `edits` edits (of
     characters) away, kept or not; the shorter of such a pair has at least `near_from` characters. Blank
     lines stay, and so a text without repeated lines comes back unchanged. NULL text has no lines and stays
-    NULL; a text all of whose lines go is left with its blank lines. NULL doc_id comes last; rows that share
-    a doc_id count as copies of one document, so a line number kept in one of them is kept in all. Other
+    NULL; a text all of whose lines go is left with its blank lines. NULL doc_id comes last. Rows are told by doc_id
+    and text, so rows that are equal in both count as one document, and their lines stay in all of them. Other
     columns stay as they are, those named n_lines or n_kept are replaced.
     """
     docs = docs.drop("n_lines", "n_kept")
@@ -236,15 +256,13 @@ def dedup_lines(docs: DataFrame, edits: int = 1, near_from: int = NEAR_FROM) ->
         "later_lines",
     )
     firsts = lines_of(named).groupBy("h1", "h2").agg(F.min("place").alias("place"))
-    bits = F.lit(_LINE_BITS).cast("decimal(10,0)")
-    doc = F.floor(F.col("place") / bits).cast("decimal(20,0)")
+    number = F.pmod("place", F.lit(_LINE_BITS).cast("decimal(10,0)")).cast("decimal(10,0)")
     kept = (
         firsts.join(later, ["h1", "h2"], "left_anti")
-        .select(doc.alias("_doc"), F.pmod("place", bits).cast("int").alias("line_no"))
+        .select((F.col("place") - number).cast("decimal(38,0)").alias("_doc"), number.cast("int").alias("line_no"))
         .groupBy("_doc")
         .agg(F.collect_set("line_no").alias("_kept"))
     )
-    key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
     parts = F.split("text", "\n", -1)
     blank = F.filter(
         F.transform("_parts", lambda x, i: F.when(F.trim(x, F.lit(BLANKS)) == "", i)),
@@ -252,7 +270,7 @@ def dedup_lines(docs: DataFrame, edits: int = 1, near_from: int = NEAR_FROM) ->
     )
     numbers = F.array_sort(F.array_union(F.col("_blank"), F.coalesce("_kept", F.array().cast("array<int>"))))
     return (
-        docs.withColumn("_doc", key)
+        docs.withColumn("_doc", row_place(docs))
         .join(kept, "_doc", "left")
         .withColumn("_parts", parts)
         .withColumn("_blank", blank)

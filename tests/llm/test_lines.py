@@ -135,6 +135,16 @@ def test_rows_that_share_an_id(spark):
     assert sorted(t for _, t, _, _ in got) == ["", "same\nother one", "same\nother one"]
 
 
+@pytest.mark.parametrize("doc_id", [None, 5, -5])
+def test_rows_of_one_id_or_none_lose_repeated_lines(spark, doc_id):
+    got = found(spark, [(doc_id, "a\nb"), (doc_id, "c\na"), (doc_id, "x\nb"), (doc_id, "a\nb")], 1, 30)
+    # which text comes first is settled by hash; equal rows are one
+    equal = [t for _, t, _, _ in got]
+    assert sum(n for _, _, n, _ in got) == 8
+    lines_left = sorted(x for t in {*equal} for x in t.split("\n") if x)
+    assert lines_left == ["a", "b", "c", "x"]
+
+
 def test_plan_has_no_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = lines.dedup_lines(docs)._jdf.queryExecution().toString()

@@ -35,7 +35,7 @@ def test_contract():
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "line_dedup", "ngram_jaccard", "mixing", "byte_bpe"]
     assert driver.queries()["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in driver.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in driver.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stage_columns(stages):
