@@ -2,9 +2,8 @@
 
 Every vector is projected on M orthogonal random directions, and each projection is kept as one sorted
 array. A query looks into a window around its own value in every array. Windows grow by a factor, a
-wider window takes in the narrower one, so only its two flanks are read: virtual rehashing. A vector that
-lies in the windows of enough arrays is verified by its exact score; windows grow until enough vectors
-were verified. That takes vectors of nearly equal length, so a block is cut into shells by length, each
+wider window takes in the narrower one, without another index: virtual rehashing. A vector that lies in the
+windows of enough arrays is verified by its exact score; windows grow until enough vectors collide. That takes vectors of nearly equal length, so a block is cut into shells by length, each
 with arrays of its own; shells too short to hold a better one are left out.
 """
 
@@ -20,17 +19,19 @@ from pyspark.sql import functions as F
 from pagemark.llm.common import stored
 from pagemark.llm.vectors import best_of, dealt, every, ranked, usable
 
-#: Projections; share of them that must collide; share of a block that may be verified beyond k.
-PROJECTIONS = 64
-COLLIDING = 0.8
-VERIFIED = 0.1
+#: Fewest and most projections (as many as components between), and the share of them that must collide.
+FEWEST, MOST = 64, 255
+COLLIDING = 0.85
+#: Vectors of a shell that are verified: k, a share of the shell, and so many at least.
+VERIFIED, LEAST = 0.05, 400
 #: First half-width and its growth, in units of the projections' spread.
-FIRST_WIDTH, GROWTH = 1.0, 1.1
-#: Longest to shortest vector of a shell; a shell goes on beyond that until it has so many vectors, and
-#: then all of them are verified.
-RATIO, SHELL = 1.1, 1_024
-#: Vectors in a block of the index, and queries that visit it together.
+FIRST_WIDTH, GROWTH = 1.0, 1.02
+#: Longest to shortest vector of a shell; a shell goes on beyond that until it has so many vectors.
+RATIO, SHELL = 1.1, 256
+#: Vectors in a block of the index, which ranks of 16 bits can tell, and queries that visit it together.
 BLOCK, QUERIES = 32_768, 2_048
+#: Vectors whose collisions are counted at once, and the share of a shell that finds the width.
+PORTION, PROBED = 4_096, 8
 
 
 def directions(size: int, count: int, seed: int) -> np.ndarray:
@@ -45,65 +46,74 @@ def directions(size: int, count: int, seed: int) -> np.ndarray:
 
 
 class Index:
-    """Sorted projections of a shell of vectors.
+    """Sorted projections of a shell of vectors, kept as the rank of every vector in every array.
 
     Inner products become distances by one more component, which gives all vectors the length of the
     longest; queries have a zero there.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, seed: int = 23):
-        self.ids, self.vectors = ids, vectors
-        self.longest = longest
-        if len(ids) <= SHELL:
-            return  # all are verified
+        self.ids, self.vectors, self.longest = ids, vectors, longest
+        n = len(ids)
         rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
         lifted = np.concatenate([vectors, rest[:, None]], axis=1)
-        self.axes = directions(lifted.shape[1], PROJECTIONS, seed)
-        placed = lifted @ self.axes
-        order = np.argsort(placed, axis=0, kind="stable").T
+        count = min(MOST, max(FEWEST, lifted.shape[1]))
+        self.axes = directions(lifted.shape[1], count, seed)
+        self.needed = math.ceil(COLLIDING * count)
+        placed = (lifted @ self.axes).T
+        order = np.argsort(placed, axis=1, kind="stable")
         # the sorted arrays lie one behind the other, each lifted above the one before, so one
         # search finds the borders of all windows
-        self.apart = 4.0 * longest
-        self.lift = np.arange(PROJECTIONS) * self.apart
-        self.sorted = (np.take_along_axis(placed.T, order, axis=1) + self.lift[:, None]).ravel()
-        self.order = order.astype(np.intp).ravel()
+        self.lift = np.arange(count) * (4.0 * longest)
+        self.sorted = (np.take_along_axis(placed, order, axis=1) + self.lift[:, None]).ravel()
+        self.starts = np.arange(count) * n
+        ranks = np.empty((count, n), np.uint16)
+        np.put_along_axis(ranks, order, np.arange(n, dtype=np.uint16)[None, :], axis=1)
+        # a portion of the vectors, all its ranks together
+        self.portions = [np.ascontiguousarray(ranks[:, i : i + PORTION]) for i in range(0, n, PORTION)]
+        self.probe = np.ascontiguousarray(ranks[:, : math.ceil(n / PROBED)])
         self.spread = longest / math.sqrt(lifted.shape[1])
+        self.width = FIRST_WIDTH * self.spread
+
+    def windows(self, centre: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
+        """First rank and number of ranks within `width` of the query, in every array."""
+        reach = min(width, 2.0 * self.longest)  # no window leaves its array
+        low = np.searchsorted(self.sorted, centre - reach + self.lift)
+        high = np.searchsorted(self.sorted, centre + reach + self.lift, "right")
+        return (low - self.starts).astype(np.uint16)[:, None], (high - low).astype(np.uint16)[:, None]
+
+    def colliding(self, ranks: np.ndarray, low: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the vectors of these ranks lie in the windows of enough arrays."""
+        inside = (ranks - low) < size
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8) >= self.needed
 
     def candidates(self, query: np.ndarray, wanted: int) -> np.ndarray:
+        """The vectors that collide once windows are wide enough for `wanted` of them."""
         n = len(self.ids)
-        if n <= SHELL:
-            return np.arange(n)
-        wanted = min(wanted, n)
-        needed = math.ceil(COLLIDING * PROJECTIONS)
+        wanted, probed = min(wanted, n), self.probe.shape[1]
         # scaled to the common length: the same order, and the centre of the windows is meaningful
         centre = np.append(query * (self.longest / np.linalg.norm(query)), 0.0) @ self.axes
-        low = high = np.searchsorted(self.sorted, centre + self.lift)
-        counts = np.zeros(n, dtype=np.int64)
-        width = FIRST_WIDTH * self.spread
+        # from somewhat below the width that the query before has come to, or at the first one
+        width = max(FIRST_WIDTH * self.spread, self.width / GROWTH**2)
+        # a part of the vectors tells how wide about, and all of them whether that is enough
+        share = min(probed, math.ceil(wanted * probed / n))
+        while width < 2.0 * self.longest:
+            if self.colliding(self.probe, *self.windows(centre, width)).sum() >= share:
+                break
+            width *= GROWTH
         while True:
-            reach = min(width, 2.0 * self.longest)  # no window leaves its array
-            wider_low = np.searchsorted(self.sorted, centre - reach + self.lift)
-            wider_high = np.searchsorted(self.sorted, centre + reach + self.lift, "right")
-            if reach < width:
-                wider_low, wider_high = np.arange(PROJECTIONS) * n, np.arange(1, PROJECTIONS + 1) * n
-            flanks = [
-                self.order[x:y]
-                for x, y in zip(
-                    np.concatenate([wider_low, high]).tolist(),
-                    np.concatenate([low, wider_high]).tolist(),
-                    strict=True,
-                )
-            ]
-            counts += np.bincount(np.concatenate(flanks), minlength=n)
-            low, high = wider_low, wider_high
-            colliding = np.flatnonzero(counts >= needed)
-            if len(colliding) >= wanted:
-                return colliding
+            if width >= 2.0 * self.longest:
+                return np.arange(n)  # the windows hold all
+            borders = self.windows(centre, width)
+            found = np.flatnonzero(np.concatenate([self.colliding(p, *borders) for p in self.portions]))
+            if len(found) >= wanted:
+                self.width = width
+                return found
             width *= GROWTH
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         # one more than wanted, as the query itself may be among them
-        found = self.candidates(query, k + 1 + math.ceil(VERIFIED * len(self.ids)))
+        found = self.candidates(query, k + 1 + max(LEAST, math.ceil(VERIFIED * len(self.ids))))
         found = found[self.ids[found] != query_id]
         scores = self.vectors[found] @ query
         best = best_of(self.ids[found], scores, k)

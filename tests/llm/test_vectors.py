@@ -98,8 +98,9 @@ def test_bounds_cut_what_is_sent(spark):
     assert reach[0] == pytest.approx(0) and reach[1] == pytest.approx(640)
 
 
-def test_recall_of_the_approximate_search(spark, monkeypatch):
-    monkeypatch.setattr(nearest, "BLOCK", 500)
+@pytest.mark.parametrize("block", [500, nearest.BLOCK])
+def test_recall_of_the_approximate_search(spark, monkeypatch, block):
+    monkeypatch.setattr(nearest, "BLOCK", block)
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = vectors.collect()
     found = {r.vec_id: np.array(r.embedding, dtype=float) for r in rows}
@@ -123,7 +124,7 @@ def test_approximate_search_of_unequal_lengths(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
-@pytest.mark.parametrize(("size", "sigma"), [(64, 0.2), (64, 1.0), (128, 0.5)])
+@pytest.mark.parametrize(("size", "sigma"), [(64, 0.0), (64, 0.2), (64, 1.0), (128, 0.0), (128, 0.5)])
 def test_approximate_search_of_unequal_lengths_in_a_full_block(spark, tmp_path, size, sigma):
     length = F.exp(F.lit(sigma) * F.randn(size))
     values = F.array(*[(F.randn(i) * length).cast("float") for i in range(size)])
@@ -142,6 +143,17 @@ def test_approximate_search_of_unequal_lengths_in_a_full_block(spark, tmp_path,
     assert hits / (20 * len(got)) >= 0.95
 
 
+def test_few_vectors_are_verified(spark):
+    """Of random directions, where nothing is near, a twentieth and little more; one path at all sizes."""
+    rng = np.random.default_rng(2)
+    for n in (450, 9_000):
+        vectors = rng.normal(size=(n, 32))
+        vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+        (part,) = nearest.shells(np.arange(n), vectors)
+        sizes = [len(part.candidates(v, 21 + max(nearest.LEAST, n // 20))) for v in vectors[:20]]
+        assert 20 + nearest.LEAST < max(sizes) <= max(450, 0.12 * n)
+
+
 def test_approximate_search_odd_rows(spark):
     got = as_lists(nearest.nearest(frame(spark, ODD), F.col("vec_id") % 20 == 0, k=20).collect())
     rest = {i: v for i, v in usable(ODD).items() if (v != 0).any()}
