@@ -58,7 +58,7 @@ rates as (
   from sizes),
 steps as (
   select source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) over (partition by source order by k) as step
-  from rates, range(0, 200) as t(k) where k <= ceil(rate + 12 * sqrt(rate) + 20)),
+  from (select source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::bigint + 1)) as k from rates)),
 drawn as (
   select d.*, ('0x' || substr(md5('17|' || doc_id), 1, 13))::bigint / 4503599627370496.0 as point from documents d),
 counted as (

@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagemark.llm import mixing
 
@@ -66,3 +68,30 @@ def test_very_high_rate(spark):
     docs = spark.createDataFrame([(1, "t", "a", None)], SCHEMA)
     n = mixing.mix_sources(docs, total=2000).count()
     assert abs(n - 2000) < 250
+
+
+@pytest.mark.parametrize("rate", [150.0, 184.5, 2_000.0, 200_000.0])
+def test_steps_at_high_rates(spark, rate):
+    start = time.perf_counter()
+    row = spark.range(1).select(
+        mixing.fewest_copies(F.lit(rate)).alias("first"), mixing.poisson_steps(F.lit(rate)).alias("steps")
+    ).first()
+    assert time.perf_counter() - start < 20
+    assert len(row.steps) < 24 * math.sqrt(rate) + 200 and row.steps[-1] == pytest.approx(1.0, abs=1e-12)
+    # beside the probabilities by lgamma, added up exactly
+    ks = range(row.first, row.first + len(row.steps))
+    terms = [math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in ks]
+    for i in range(0, len(terms), max(1, len(terms) // 50)):
+        assert row.steps[i] == pytest.approx(math.fsum(terms[: i + 1]), abs=1e-8)
+
+
+def test_a_source_of_one_row_at_a_high_rate(spark):
+    rows = [(1, "t", "small", None)] + [(i, "t", "big", None) for i in range(2, 50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = Counter(r.source for r in mixing.mix_sources(docs, weights={"small": 1.0}, total=100_000).collect())
+    assert abs(got["small"] - 100_000) < 6 * math.sqrt(100_000) and got["big"] == 0
+
+
+def test_no_weights_at_all(spark):
+    docs = spark.createDataFrame([(1, "t", "a", None)], SCHEMA)
+    assert mixing.mix_sources(docs, weights={}).count() == 0
