@@ -20,7 +20,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is found: `und` and evenly mixed ones go.
 
     The field learns from the labelled rows whose fold is not held out. Without any, nothing can be told
-    and nothing goes.
+    and nothing goes. NULL and empty texts, and texts without a letter, are `und` and go. Rows are judged one
+    by one, so equal rows stay or go together, and NULL in any other column changes nothing.
     """
     model = language.train(docs.where(~language.held_out(F.col("doc_id"), 4, 2)))
     if model is None:
@@ -31,7 +32,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take repeated lines out; a document all of whose lines go, goes."""
+    """Take repeated lines out; a document all of whose lines go, goes.
+
+    So NULL, empty and blank texts go. Rows that are equal in doc_id and text stay in all their copies; other rows
+    of one doc_id, or of none, lose repeated lines like any. n_chars is that of the text that is left.
+    """
     cleaned = lines.dedup_lines(docs).where("n_kept > 0")
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
@@ -58,10 +63,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by Poisson counts, shares following size ** 0.5, in random order.
+
+    A NULL source is a source of its own; rows that share a doc_id share their number of copies; texts are not
+    looked at. No rows give no rows.
+    """
     return mixing.mix_sources(docs).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of ids and decoded bytes, one row per row of `docs`; NULL text is empty."""
     return bpe.digests(bpe.encode_documents(docs))
 
 
