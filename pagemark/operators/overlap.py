@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 CELL_BITS, STEP_BITS = 7, 2
 _BOX = ["x1", "y1", "x2", "y2"]
 # The level of width and that of height on which boxes of two classes meet.
-_WIDE = "greatest(shiftright(_one, 4), shiftright(_two, 4))"
-_HIGH = "greatest(_one & 15, _two & 15)"
+_WIDE = "greatest(shiftright({0}_one, 4), shiftright({0}_two, 4))"
+_HIGH = "greatest({0}_one & 15, {0}_two & 15)"
 
 
 def _level(size):
@@ -20,11 +20,11 @@ def _level(size):
 
 
 def _cell(column: str, level: str):
-    return F.expr(f"shiftright(cast({column} as bigint), {CELL_BITS} + {STEP_BITS} * {level})")
+    return F.expr(f"cast(shiftright(cast({column} as bigint), {CELL_BITS} + {STEP_BITS} * {level}) as int)")
 
 
 def box_cells(boxes: DataFrame, keys: list[str]) -> DataFrame:
-    """Where boxes of a page meet: those of class `_one` and of class `_two` with the same keys, `_cx` and `_cy`.
+    """Where boxes of a page meet: those with the same keys, `cx` (two classes and a column) and `cy`.
 
     A box has a level for its width and one for its height, which make its class. Boxes of two classes meet in
     the cells of the wider and of the higher level, of which a box touches four at most. So a box is filed once
@@ -40,11 +40,12 @@ def box_cells(boxes: DataFrame, keys: list[str]) -> DataFrame:
     met = held.withColumn("_other", F.explode("_classes")).withColumns(
         {"_one": F.least("_class", "_other"), "_two": F.greatest("_class", "_other")}
     )
-    columns = F.explode(F.sequence(_cell("x1", _WIDE), _cell("x2", _WIDE)))
-    rows = F.explode(F.sequence(_cell("y1", _HIGH), _cell("y2", _HIGH)))
-    cells = met.withColumn("_cx", columns).withColumn("_cy", rows)
-    place = [*keys, "_one", "_two", "_cx", "_cy"]
-    kept = [*place, "_class", *_BOX, "n"]
+    wide, high = _WIDE.format(""), _HIGH.format("")
+    columns = F.explode(F.sequence(_cell("x1", wide), _cell("x2", wide)))
+    rows = F.explode(F.sequence(_cell("y1", high), _cell("y2", high)))
+    cells = met.withColumn("_x", columns).withColumn("cy", rows)
+    cells = cells.withColumn("cx", F.struct("_one", "_two", "_x"))
+    kept = [*keys, "cx", "cy", "_class", *_BOX, "n"]
     return cells.select(*kept)
 
 
@@ -62,7 +63,7 @@ def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
         .groupBy(*keys, *_BOX)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    place = [*keys, "_one", "_two", "_cx", "_cy"]
+    place = [*keys, "cx", "cy"]
     held = ["_class", *_BOX, "n"]
     # dealt once: both sides of the join read the same exchange
     cells = box_cells(boxes, keys).repartition(*place)
@@ -76,12 +77,13 @@ def box_overlaps(tokens: DataFrame, keys: list[str]) -> DataFrame:
         & (F.col("r_y1") < F.col("l_y2"))
     )
     # boxes of one class meet in both orders; a box that several words have meets itself
-    taken = (F.col("_one") != F.col("_two")) | (l < r) | ((l == r) & (F.col("l_n") > 1))
-    corner = (F.col("_cx") == _cell("greatest(l_x1, r_x1)", _WIDE)) & (
-        F.col("_cy") == _cell("greatest(l_y1, r_y1)", _HIGH)
+    one, two = F.col("cx._one"), F.col("cx._two")
+    taken = (one != two) | (l < r) | ((l == r) & (F.col("l_n") > 1))
+    corner = (F.col("cx._x") == _cell("greatest(l_x1, r_x1)", _WIDE.format("cx."))) & (
+        F.col("cy") == _cell("greatest(l_y1, r_y1)", _HIGH.format("cx."))
     )
     # said in one comparison of both sides, as filters of either one would part the exchange
-    classes = F.col("l__class") * 256 + F.col("r__class") == F.col("_one") * 256 + F.col("_two")
+    classes = F.col("l__class") * 256 + F.col("r__class") == one * 256 + two
     pairs = left.join(right, place).filter(classes & taken & meets & corner)
     swap = l > r
     pairs = pairs.select(

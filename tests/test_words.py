@@ -250,7 +250,7 @@ def test_a_wide_box_is_filed_in_few_cells(spark):
     boxes = df.groupBy("page_id", "x1", "y1", "x2", "y2").agg(F.count("*").alias("n"))
     cells = overlap.box_cells(boxes, ["page_id"])
     assert cells.count() <= 4 * 4 * len(rows)
-    filed = cells.groupBy("page_id", "x1", "y1", "x2", "y2", "_one", "_two").count()
+    filed = cells.groupBy("page_id", "x1", "y1", "x2", "y2", "cx._one", "cx._two").count()
     assert filed.selectExpr("max(count)").first()[0] <= 4
     start = time.perf_counter()
     got = overlap.box_overlaps(df, ["page_id"])
