@@ -36,7 +36,8 @@ SHORT_LIST, BLOCK = 64, 1_024
 LARGEST_LIGHT = 64
 #: Classes whose ids may be broadcast, at some 40 bytes each.
 BROADCAST_ROWS = 1_000_000
-REMEMBERED = 1_000_000
+#: Words whose hashes a task remembers, at some 150 bytes each.
+REMEMBERED = 1 << 18
 
 
 class WordHashes(dict):
