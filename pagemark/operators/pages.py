@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemark.functions.boxes import COORDINATES, box_coordinates, confidence_band
 from pagemark.operators.dedup import collapse_top_k
-from pagemark.operators.ordering import ranked
+from pagemark.operators.ordering import Prepare, ranked
 from pagemark.schemas import ANNOTATORS, annotator_column
 
 PAGE_KEY = ["case_id", "page_id"]
@@ -40,9 +40,13 @@ def reading_order(
     pos: str = "pos",
     keys: list[str] = PAGE_KEY,
     out: str = "reading_pos",
+    prepare: Prepare | None = None,
 ) -> DataFrame:
-    """Number the words of a page top to bottom, then left to right; words without a box last."""
-    return ranked(tokens, keys, ["y1", "x1"], pos, out)
+    """Number the words of a page top to bottom, then left to right; words without a box last.
+
+    ``prepare`` makes the words from the tokens, page by page, such as their collapse.
+    """
+    return ranked(tokens, keys, ["y1", "x1"], pos, out, prepare=prepare)
 
 
 def annotation_table(
@@ -56,8 +60,11 @@ def annotation_table(
     """Tokens of the listed pages, collapsed, with coordinates, reading position, and two empty
     annotator columns at the end. ``tie_order`` settles ties of the collapse, ``pos`` by default."""
     chosen = tokens if pages is None else page_tokens(tokens, pages, keys)
-    collapsed = with_coordinates(collapse_top_k(chosen, tie_order or [pos], word_key))
-    return with_annotator_columns(reading_order(collapsed, pos, keys))
+
+    def words(rows: DataFrame) -> DataFrame:
+        return with_coordinates(collapse_top_k(rows, tie_order or [pos], word_key))
+
+    return with_annotator_columns(reading_order(chosen, pos, keys, prepare=words))
 
 
 def with_annotator_columns(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pagemark.functions.text import is_blank, ratio
 from pagemark.operators.confusion import with_overall
 from pagemark.operators.ordering import (
     BLOCK_BITS,
+    Prepare,
     with_previous,
     with_row_number,
     with_span_starts,
@@ -158,17 +159,28 @@ def sequence_accuracy(df: DataFrame, keys: list[str], truth: str, pred: str) ->
 
 
 def label_transitions(
-    df: DataFrame, keys: list[str], pos: str, truth: str, pred: str, bits: int = BLOCK_BITS
+    df: DataFrame,
+    keys: list[str],
+    pos: str,
+    truth: str,
+    pred: str,
+    bits: int = BLOCK_BITS,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
     """Per document: label changes from word to word, and how many the prediction shares.
 
     The share of equal (previous, current) label pairs is this library's reading-order similarity.
+    ``prepare`` as in `with_previous`.
     """
-    valid = df.filter(~is_blank(truth) & ~is_blank(pred)).select(
-        *keys, pos, F.col(truth).alias("truth"), F.col(pred).alias("pred")
-    )
+
+    def valid(rows: DataFrame) -> DataFrame:
+        made = prepare(rows) if prepare else rows
+        return made.filter(~is_blank(truth) & ~is_blank(pred)).select(
+            *keys, pos, F.col(truth).alias("truth"), F.col(pred).alias("pred")
+        )
+
     paired = with_previous(
-        valid, keys, pos, {"truth_before": "truth", "pred_before": "pred"}, bits
+        df, keys, pos, {"truth_before": "truth", "pred_before": "pred"}, bits, prepare=valid
     ).filter(F.col("truth_before").isNotNull())
     same = (F.col("truth") == F.col("pred")) & (F.col("truth_before") == F.col("pred_before"))
     return paired.groupBy(*keys).agg(

@@ -267,3 +267,31 @@ def test_transitions(spark):
     rows = [("d", 0, "A", "A"), ("d", 1, "A", "A"), ("d", 2, "B", "A"), ("d", 3, "B", "B"), ("d", 5, "B", "B")]
     row = label_transitions(frame(spark, rows), ["doc"], "pos", "truth", "pred", 1).first()
     assert (row.transitions, row.equal) == (4, 2)
+
+
+@pytest.mark.parametrize("bits", [2, 4, 16])
+def test_small_and_large_groups_beside_each_other(spark, bits):
+    """Groups of up to 2^bits rows are sorted whole, larger ones in cells; rows are prepared in both."""
+    rng = random.Random(70 + bits)
+    rows = [(g, rng.choice([None, 1, 2, 300, 301]), rng.choice([None, 3, 4, 900]), i)
+            for i, g in enumerate(g for g, n in [("a", 3), ("b", 4), ("c", 16), ("d", 17), (None, 90)] for _ in range(n))]
+    df = spark.createDataFrame(rows, "page string, y int, x int, pos bigint").repartition(4)
+    out = ranked(df, ["page"], ["y", "x"], "pos", "n", bits, prepare=lambda r: r.filter("pos % 3 != 0"))
+    assert out.columns == ["page", "y", "x", "pos", "n"]
+    got = {(r.page, r.pos): r.n for r in out.collect()}
+    far, want = float("inf"), {}
+    for g in {r[0] for r in rows}:
+        kept = [r for r in rows if r[0] == g and r[3] % 3]
+        kept.sort(key=lambda r: (far if r[1] is None else r[1], far if r[2] is None else r[2], r[3]))
+        want |= {(g, r[3]): i for i, r in enumerate(kept, 1)}
+    assert got == want
+
+
+@pytest.mark.parametrize("bits", [2, 5, 16])
+def test_previous_of_prepared_rows(spark, bits):
+    rows = documents(80 + bits)
+    out = with_previous(frame(spark, rows), ["doc"], "pos", {"before": "truth"}, bits,
+                        prepare=lambda r: r.filter("pos % 3 != 0"))
+    want = {(d, r[1]): seq[i - 1][2] if i else None
+            for d, seq in by_document([r for r in rows if r[1] % 3]).items() for i, r in enumerate(seq)}
+    assert {(r.doc, r.pos): r.before for r in out.collect()} == want

@@ -71,3 +71,15 @@ def test_diff_has_no_join(spark):
 
 def test_class_ids_are_looked_up_without_a_join(spark):
     assert "Join" not in plan(workload.queries()["decode_unk"](spark, SMALL))
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [("annotation_table", 2), ("reading_order", 2), ("label_transitions", 4), ("reading_order_similarity", 5),
+     ("sequence_scores", 6)],
+)
+def test_small_documents_need_no_summaries(spark, name, most):
+    """Rows are dealt once per order; what large documents take is gone from the plan where there are none."""
+    text = plan(workload.queries()[name](spark, SMALL), run=True)
+    assert len(re.findall(r"Exchange (hashpartitioning|SinglePartition)", text)) <= most
+    assert text.count("FileScan") == (2 if name == "sequence_scores" else 1)

@@ -12,7 +12,7 @@ from pagemark.operators.ordering import indexed
 from pagemark.operators.pages import reading_order
 from pagemark.plans import workflows
 from pagemark.plans.workflows import averages_by_annotator
-from workload.views import ROW_ORDER, VOCAB, WORD_KEY, WORDS, r6, read, rounded, tokens, words
+from workload.views import ROW_ORDER, VOCAB, WORD_KEY, WORDS, best_words, r6, read, rounded, tokens, words
 
 QUERIES, ORACLE = {}, {}
 SCORES = ["precision", "recall", "f1"]
@@ -315,8 +315,10 @@ WHERE annotator2_label <> '' AND annotator1_label <> annotator2_label GROUP BY A
 
 def _case_judged(spark, sf):
     """Documents are cases: long sequences that cross block borders."""
-    df = words(spark, sf, case=True).withColumn("pos", F.col("page_no") * 8 + F.col("word_no"))
-    return with_evaluation_labels(df, "annotator1", VOCAB, ["case_id"], "pos", bits=10, keep_block=True)
+    df = tokens(spark, sf, case=True).withColumn("pos", F.col("page_no") * 8 + F.col("word_no"))
+    return with_evaluation_labels(
+        df, "annotator1", VOCAB, ["case_id"], "pos", bits=10, keep_block=True, prepare=best_words
+    )
 
 
 def _spans_sql(tag):
@@ -446,11 +448,16 @@ FROM flat_rows WHERE truth IN ('ADDRESS', 'MONEY', 'TITLE') GROUP BY truth"""
 
 
 def label_transitions(spark, sf):
-    collapsed = collapse_top_k(tokens(spark, sf, coordinates=True), ROW_ORDER, WORD_KEY)
-    best = with_evaluation_labels(collapsed, "annotator1", VOCAB, bio=False)
-    ordered = reading_order(best, "word_no", ["page_id"])
+    def best(rows):
+        collapsed = collapse_top_k(rows, ROW_ORDER, WORD_KEY)
+        return with_evaluation_labels(collapsed, "annotator1", VOCAB, bio=False)
+
+    def ordered(rows):
+        return reading_order(rows, "word_no", ["page_id"], prepare=best)
+
     return sequences.label_transitions(
-        ordered, ["page_id"], "reading_pos", "ground_truth_flat", "pred_flat"
+        tokens(spark, sf, coordinates=True), ["page_id"], "reading_pos", "ground_truth_flat", "pred_flat",
+        prepare=ordered,
     )
 
 

@@ -280,10 +280,10 @@ QUALIFY row_number() OVER (PARTITION BY page_id, labels, pred ORDER BY word_no,
 
 
 def reading_order(spark, sf):
-    best = pages.with_coordinates(
-        _odd_boxes(dedup.collapse_top_k(tokens(spark, sf), ROW_ORDER, WORD_KEY))
-    )
-    return pages.reading_order(best, "word_no", ["page_id"]).select(
+    def best(rows):
+        return pages.with_coordinates(_odd_boxes(dedup.collapse_top_k(rows, ROW_ORDER, WORD_KEY)))
+
+    return pages.reading_order(tokens(spark, sf), "word_no", ["page_id"], prepare=best).select(
         "page_id", "word_ids", "y1", "x1", "reading_pos"
     )
 

@@ -85,7 +85,10 @@ def words(
     spark: SparkSession, sf_dir: str, case: bool = False, coordinates: bool = False
 ) -> DataFrame:
     """One row per word: the best prediction of each (page, word)."""
-    df = tokens(spark, sf_dir, case, coordinates)
+    return best_words(tokens(spark, sf_dir, case, coordinates))
+
+
+def best_words(df: DataFrame) -> DataFrame:
     return collapse_top_k(df, ROW_ORDER, WORD_KEY).drop(*HIDDEN)
 
 
