@@ -14,15 +14,25 @@ HIGH_CONFIDENCE = 0.8
 MEDIUM_CONFIDENCE = 0.5
 
 
+def box_parts(bboxes) -> Column:
+    """The four coordinate texts of a box text; one empty text when it holds no box, NULL for NULL."""
+    return F.split(F.regexp_extract(column(bboxes), BOX_PATTERN, 1), ",")
+
+
+def part_coordinate(parts, index: int) -> Column:
+    """One coordinate of what `box_parts` gives; NULL without a box."""
+    part = F.get(column(parts), F.lit(index))
+    return F.when(part != "", part.try_cast("int"))
+
+
 def box_coordinate(bboxes, index: int) -> Column:
     """One coordinate of a box text; NULL when the text holds no box.
 
     One regular expression per row finds the box and the split is shared by all four coordinates
-    through common-subexpression elimination.
+    through common-subexpression elimination, as long as they stay in one projection: filters and sums
+    over coordinates repeat the parse for each one they name (`operators.pages.with_coordinates` does not).
     """
-    parts = F.split(F.regexp_extract(column(bboxes), BOX_PATTERN, 1), ",")
-    part = F.get(parts, F.lit(index))
-    return F.when(part != "", part.try_cast("int"))
+    return part_coordinate(box_parts(bboxes), index)
 
 
 def box_coordinates(bboxes) -> list[Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemark.functions.boxes import COORDINATES, box_coordinates, confidence_band
+from pagemark.functions.boxes import COORDINATES, box_parts, confidence_band, part_coordinate
 from pagemark.operators.dedup import collapse_top_k
 from pagemark.operators.ordering import Prepare, ranked
 from pagemark.schemas import ANNOTATORS, annotator_column
@@ -23,16 +23,21 @@ def page_tokens(tokens: DataFrame, pages: DataFrame, keys: list[str] = PAGE_KEY)
 
 
 def with_coordinates(tokens: DataFrame) -> DataFrame:
-    """Insert x1, y1, x2, y2 right after `bboxes`."""
+    """Insert x1, y1, x2, y2 right after `bboxes`.
+
+    A box text is parsed once per row: filters and sums that name coordinates are merged with the
+    projection that makes them, but stay above an `explode`, here of one item.
+    """
     if "bboxes" not in tokens.columns:
         return tokens
+    parsed = tokens.select("*", F.explode(F.array(box_parts("bboxes"))).alias("_parts"))
     columns: list = []
     for name in tokens.columns:
         if name not in COORDINATES:
             columns.append(F.col(name))
         if name == "bboxes":
-            columns += box_coordinates("bboxes")
-    return tokens.select(*columns)
+            columns += [part_coordinate("_parts", i).alias(c) for i, c in enumerate(COORDINATES)]
+    return parsed.select(*columns)
 
 
 def reading_order(

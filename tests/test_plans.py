@@ -83,3 +83,10 @@ def test_small_documents_need_no_summaries(spark, name, most):
     text = plan(workload.queries()[name](spark, SMALL), run=True)
     assert len(re.findall(r"Exchange (hashpartitioning|SinglePartition)", text)) <= most
     assert text.count("FileScan") == (2 if name == "sequence_scores" else 1)
+
+
+@pytest.mark.parametrize("name", ["box_region", "reading_order", "annotation_table"])
+def test_box_texts_are_parsed_once_a_row(spark, name):
+    """Where a projection of coordinates is merged with a filter on them, each one parses the text again."""
+    text = workload.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert all(line.count("regexp_extract") <= 1 for line in text.splitlines())
