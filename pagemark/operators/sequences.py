@@ -17,12 +17,37 @@ from pagemark.operators.ordering import (
 )
 
 
+def _held(df: DataFrame) -> list[str]:
+    return ["_block"] if "_block" in df.columns else []
+
+
+def _span_starts(
+    df: DataFrame, keys: list[str], pos: str, tags: list[str], bits: int, made: Prepare
+) -> DataFrame:
+    """Span starts of prepared rows; rows that come with a `_block` are prepared first, and it is taken."""
+    if "_block" in df.columns:
+        return with_span_starts(made(df), keys, pos, tags, bits)
+    return with_span_starts(df, keys, pos, tags, bits, made)
+
+
 def entity_spans(
-    df: DataFrame, keys: list[str], pos: str, tag: str, bits: int = BLOCK_BITS
+    df: DataFrame,
+    keys: list[str],
+    pos: str,
+    tag: str,
+    bits: int = BLOCK_BITS,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
-    """(keys…, entity_type, start, end, tokens): start and end are positions of the document."""
-    held = ["_block"] if "_block" in df.columns else []
-    starts = with_span_starts(df.select(*keys, pos, tag, *held), keys, pos, [tag], bits)
+    """(keys…, entity_type, start, end, tokens): start and end are positions of the document.
+
+    ``prepare`` as in `with_span_starts`.
+    """
+
+    def tagged(rows: DataFrame) -> DataFrame:
+        made = prepare(rows) if prepare else rows
+        return made.select(*keys, pos, tag, *_held(made))
+
+    starts = _span_starts(df, keys, pos, [tag], bits, tagged)
     inside = starts.filter(F.col(f"{tag}_start").isNotNull())
     return inside.groupBy(
         *keys, bio_type(tag).alias("entity_type"), F.col(f"{tag}_start").alias("start")
@@ -46,18 +71,23 @@ def span_counts(
     truth: str,
     pred: str,
     bits: int = BLOCK_BITS,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
     """(entity_type, tp, n_true, n_pred): true, predicted and exactly matching spans.
 
     Rows lacking a tag leave the sequence first, so their neighbours meet. A true and a predicted
     span match when type, start and end agree; as one span starts at a position at most, grouping by
-    (document, type, start) and comparing the ends replaces the span join.
+    (document, type, start) and comparing the ends replaces the span join. ``prepare`` as in
+    `with_span_starts`.
     """
-    held = ["_block"] if "_block" in df.columns else []
-    valid = df.filter(~is_blank(truth) & ~is_blank(pred)).select(
-        *keys, pos, F.col(truth).alias("truth"), F.col(pred).alias("pred"), *held
-    )
-    starts = with_span_starts(valid, keys, pos, ["truth", "pred"], bits)
+
+    def valid(rows: DataFrame) -> DataFrame:
+        made = prepare(rows) if prepare else rows
+        return made.filter(~is_blank(truth) & ~is_blank(pred)).select(
+            *keys, pos, F.col(truth).alias("truth"), F.col(pred).alias("pred"), *_held(made)
+        )
+
+    starts = _span_starts(df, keys, pos, ["truth", "pred"], bits, valid)
 
     def side(name: str, other: str):
         return F.struct(

@@ -295,3 +295,21 @@ def test_previous_of_prepared_rows(spark, bits):
     want = {(d, r[1]): seq[i - 1][2] if i else None
             for d, seq in by_document([r for r in rows if r[1] % 3]).items() for i, r in enumerate(seq)}
     assert {(r.doc, r.pos): r.before for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("bits", [2, 5, 16])
+def test_span_counts_of_prepared_rows(spark, bits):
+    """Rows prepared with their blocks give what the same rows give when they come as they are."""
+    df = frame(spark, documents(90 + bits)).withColumn("label", F.regexp_replace("truth", "^[BI]-", ""))
+
+    def tagged(rows):
+        return flat_to_bio(rows.filter("pos % 3 != 0"), ["doc"], "pos", "label", "bio", bits, keep_block=True)
+
+    def found(out):
+        return {tuple(r) for r in out.collect()}
+
+    plain = flat_to_bio(df.filter("pos % 3 != 0"), ["doc"], "pos", "label", "bio", bits)
+    want = found(span_counts(plain, ["doc"], "pos", "bio", "pred", bits))
+    assert want and found(span_counts(df, ["doc"], "pos", "bio", "pred", bits, prepare=tagged)) == want
+    want = found(entity_spans(plain, ["doc"], "pos", "bio", bits))
+    assert want and found(entity_spans(df, ["doc"], "pos", "bio", bits, prepare=tagged)) == want

@@ -313,11 +313,14 @@ SELECT annotator1_label AS label1, annotator2_label AS label2, count(*) AS n FRO
 WHERE annotator2_label <> '' AND annotator1_label <> annotator2_label GROUP BY ALL"""
 
 
-def _case_judged(spark, sf):
-    """Documents are cases: long sequences that cross block borders."""
-    df = tokens(spark, sf, case=True).withColumn("pos", F.col("page_no") * 8 + F.col("word_no"))
+def _case_tokens(spark, sf):
+    """Documents are cases."""
+    return tokens(spark, sf, case=True).withColumn("pos", F.col("page_no") * 8 + F.col("word_no"))
+
+
+def _judge_cases(rows):
     return with_evaluation_labels(
-        df, "annotator1", VOCAB, ["case_id"], "pos", bits=10, keep_block=True, prepare=best_words
+        rows, "annotator1", VOCAB, ["case_id"], "pos", bits=10, keep_block=True, prepare=best_words
     )
 
 
@@ -339,8 +342,9 @@ case_rows AS (SELECT case_id, pos, pred, CASE WHEN l = 'O' THEN 'O' WHEN l = pre
 
 
 def entity_spans(spark, sf):
-    df = _case_judged(spark, sf)
-    return sequences.entity_spans(df, ["case_id"], "pos", "pred_bio", bits=10)
+    return sequences.entity_spans(
+        _case_tokens(spark, sf), ["case_id"], "pos", "pred_bio", bits=10, prepare=_judge_cases
+    )
 
 
 QUERIES["entity_spans"] = entity_spans
@@ -350,7 +354,8 @@ SELECT case_id, typ AS entity_type, s AS start, e AS "end", k AS tokens FROM sp"
 
 def sequence_scores(spark, sf):
     counts = sequences.span_counts(
-        _case_judged(spark, sf), ["case_id"], "pos", "ground_truth_bio", "pred_bio", bits=10
+        _case_tokens(spark, sf), ["case_id"], "pos", "ground_truth_bio", "pred_bio", bits=10,
+        prepare=_judge_cases,
     )
     return rounded(sequences.span_scores(counts), *SCORES)
 
@@ -377,7 +382,7 @@ UNION ALL SELECT 'weighted', NULL, round(sum(p * nt) / sum(nt), 6), round(sum(r
 
 
 def sequence_accuracy(spark, sf):
-    df = _case_judged(spark, sf)
+    df = _judge_cases(_case_tokens(spark, sf))
     return rounded(
         sequences.sequence_accuracy(df, ["case_id"], "ground_truth_bio", "pred_bio"), "sequence_accuracy"
     )
